@@ -19,6 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .tokens import token_output
 
@@ -31,5 +37,5 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_token_output, op6_packing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_minhash_near_dedup, op3_token_output, op6_packing)}
 ORACLE_SQL: dict[str, str] = {}
