@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import decontaminate, neardup, packing, quality, tokens, urls
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -20,22 +22,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .neardup import near_duplicates
-
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .tokens import token_output
+    return tokens.token_output(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
 
-    return token_output(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_metrics(table(spark, sf_dir, "documents"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .packing import pack_documents
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
 
-    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.url_verdicts(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_minhash_near_dedup, op3_token_output, op6_packing)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_minhash_near_dedup, op3_token_output, op4_quality_rules, op5_decontamination, op6_packing, op10_url_filters)}
+ORACLE_SQL: dict[str, str] = {"op4_quality_rules": quality.ORACLE, "op5_decontamination": decontaminate.ORACLE, "op10_url_filters": urls.ORACLE}
