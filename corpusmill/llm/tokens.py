@@ -7,6 +7,7 @@ a cut at a space could change the ids (white space after a space, in the byte-le
 
 from __future__ import annotations
 
+import os
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -26,13 +27,16 @@ SPACES_MEET = r" [\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{
 #: Words in one call of the library; few enough that its buffers stay small.
 TOGETHER = 100
 #: Characters of text that are encoded at once.
-AT_ONCE = 24_000_000
+AT_ONCE = 12_000_000
+#: Groups of words whose encodings are held at once.
+GROUPS = 50
 
 
 class Encoder:
     """Encodes columns of texts with one tokenizer file. word_ends: the kind whose tokens mark the ends of words and that drops white space."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a worker for each core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -57,7 +61,8 @@ class Encoder:
         lead = "" if self.word_ends else " "
         groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
         ids, counts = [], []
-        for group, found in zip(groups, self.plain([lead + " ".join(g) for g in groups]), strict=True):
+        encoded = (x for i in range(0, len(groups), GROUPS) for x in self.plain([lead + " ".join(g) for g in groups[i : i + GROUPS]]))
+        for group, found in zip(groups, encoded, strict=True):
             ends, reached = np.cumsum([self.width(w) for w in group]), np.cumsum(self.bytes_of[found])
             at = np.searchsorted(reached, ends)
             if len(reached) and at[-1] == len(reached) - 1 and np.array_equal(reached[at], ends):
@@ -107,7 +112,9 @@ class Encoder:
         ids, counts = np.append(ids, np.int32(end_id)), np.append(counts, 1)
         starts, lengths = (np.cumsum(counts) - counts)[index], counts[index]
         ends = np.cumsum(lengths)
-        out = ids[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        at = np.repeat((starts - (ends - lengths)).astype(np.int32), lengths)
+        at += np.arange(len(at), dtype=np.int32)
+        out = ids[at]
         text_ends = ends[bounds[1:] + np.arange(n)]
         sizes = np.diff(text_ends, prepend=0)
         if whole:
