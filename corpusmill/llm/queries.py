@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html, neardup, packing, quality, tokens, urls
+from . import decontaminate, html, licenses, neardup, packing, quality, tokens, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -49,5 +53,5 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_verdicts(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_minhash_near_dedup, op3_token_output, op4_quality_rules, op5_decontamination, op6_packing, op9_html_extraction, op10_url_filters)}
-ORACLE_SQL: dict[str, str] = {"op4_quality_rules": quality.ORACLE, "op5_decontamination": decontaminate.ORACLE, "op10_url_filters": urls.ORACLE}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_minhash_near_dedup, op3_token_output, op4_quality_rules, op5_decontamination, op6_packing, op9_html_extraction, op10_url_filters)}
+ORACLE_SQL: dict[str, str] = {"op1_license_scan": licenses.ORACLE, "op4_quality_rules": quality.ORACLE, "op5_decontamination": decontaminate.ORACLE, "op10_url_filters": urls.ORACLE}
