@@ -12,6 +12,7 @@ import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,9 @@ SPACES_MEET = r" [\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{
 #: Words in one call of the library; few enough that its buffers stay small.
 TOGETHER = 100
 #: Characters of text that are encoded at once.
-AT_ONCE = 12_000_000
+AT_ONCE = 10_000_000
+#: Words whose ids a worker remembers.
+KNOWN = 300_000
 #: Groups of words whose encodings are held at once.
 GROUPS = 50
 
@@ -44,35 +47,57 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.word_ends = "the</w>" in vocabulary
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.known: dict[str, int] = {}
+        self.known_ids, self.known_counts = np.empty(0, np.int32), np.empty(0, np.int64)
         for token, number in vocabulary.items():
             self.bytes_of[number] = len(token.removesuffix("</w>") if self.word_ends else token)
 
     def plain(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, np.int32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def width(self, word: str) -> int:
-        """Bytes of a word's tokens."""
-        if word.isascii():
-            return len(word) + (not self.word_ends)
-        return len(unicodedata.normalize("NFC", word).lower().encode()) if self.word_ends else len(word.encode()) + 1
+    def widths(self, words: pa.Array) -> np.ndarray:
+        """Bytes of each word's tokens."""
+        size = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+        if not self.word_ends:
+            return size + 1
+        for k in np.flatnonzero(size != pc.utf8_length(words).to_numpy(zero_copy_only=False)).tolist():
+            size[k] = len(unicodedata.normalize("NFC", words[k].as_py()).lower().encode())
+        return size
 
-    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all the words, how many each has); words of the byte-level kind stand after a space."""
-        lead = "" if self.word_ends else " "
-        groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        lead, texts, widths = "" if self.word_ends else " ", words.to_pylist(), self.widths(words)
         ids, counts = [], []
-        encoded = (x for i in range(0, len(groups), GROUPS) for x in self.plain([lead + " ".join(g) for g in groups[i : i + GROUPS]]))
-        for group, found in zip(groups, encoded, strict=True):
-            ends, reached = np.cumsum([self.width(w) for w in group]), np.cumsum(self.bytes_of[found])
-            at = np.searchsorted(reached, ends)
-            if len(reached) and at[-1] == len(reached) - 1 and np.array_equal(reached[at], ends):
-                counts.append(np.diff(at, prepend=-1))
-            else:
-                alone = self.plain([lead + w for w in group])
-                found, counts = np.concatenate(alone), [*counts, np.array([len(x) for x in alone])]
-            ids.append(found)
+        for i in range(0, len(texts), TOGETHER * GROUPS):
+            starts = range(i, min(i + TOGETHER * GROUPS, len(texts)), TOGETHER)
+            for k, found in zip(starts, self.plain([lead + " ".join(texts[k : k + TOGETHER]) for k in starts]), strict=True):
+                ends, reached = np.cumsum(widths[k : k + TOGETHER]), np.cumsum(self.bytes_of[found])
+                at = np.searchsorted(reached, ends)
+                if len(reached) and at[-1] == len(reached) - 1 and np.array_equal(reached[at], ends):
+                    counts.append(np.diff(at, prepend=-1))
+                else:
+                    alone = self.plain([lead + w for w in texts[k : k + TOGETHER]])
+                    found, counts = np.concatenate(alone), [*counts, np.array([len(x) for x in alone])]
+                ids.append(found)
         return (np.concatenate(ids), np.concatenate(counts)) if ids else (np.empty(0, np.int32), np.empty(0, np.int64))
 
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, where each word's begin, how many it has). The first KNOWN words of a worker are remembered."""
+        texts = words.to_pylist()
+        slots = np.fromiter(map(self.known.get, texts, repeat(-1)), np.int64, len(texts))
+        new = np.flatnonzero(slots < 0)
+        ids, counts = self.encoded(words.take(pa.array(new)))
+        known = len(self.known)
+        slots[new] = known + np.arange(len(new))
+        ids, counts = np.concatenate([self.known_ids, ids]), np.concatenate([self.known_counts, counts])
+        ends = np.cumsum(counts)
+        for k in new[: KNOWN - known].tolist():
+            self.known[texts[k]] = len(self.known)
+        if len(self.known) > known:
+            self.known_counts = counts[: len(self.known)].copy()
+            self.known_ids = ids[: ends[len(self.known) - 1]].copy()
+        return ids, (ends - counts)[slots], counts[slots]
+
     def column(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all the texts with end_id after each, how many each has); null counts as empty."""
         texts = pc.fill_null(texts, "")
@@ -96,21 +121,21 @@ class Encoder:
             lists = pc.split_pattern(texts, " ")
         bounds = lists.offsets.to_numpy().astype(np.int64)
         coded = lists.flatten().dictionary_encode()
-        vocabulary, index = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+        vocabulary, index = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         bounds = bounds - bounds[0]
         if not self.word_ends:  # the first word of each text stands after no space
             firsts = index[bounds[:-1]]
             distinct = {int(k): j for j, k in enumerate(dict.fromkeys(firsts.tolist()))}
-            alone = self.plain([vocabulary[k] for k in distinct])
-            index = index.astype(np.int64)
+            alone = self.plain([vocabulary[k].as_py() for k in distinct])
             index[bounds[:-1]] = len(vocabulary) + np.array([distinct[int(k)] for k in firsts], np.int64)
-        ids, counts = self.words(vocabulary)
-        if not self.word_ends:
-            ids, counts = np.concatenate([ids, *alone]), np.concatenate([counts, [len(x) for x in alone]]).astype(np.int64)
+        ids, starts, counts = self.words(vocabulary)
         # one more word stands for the end of a text
-        index = np.insert(index.astype(np.int64), bounds[1:], len(counts))
-        ids, counts = np.append(ids, np.int32(end_id)), np.append(counts, 1)
-        starts, lengths = (np.cumsum(counts) - counts)[index], counts[index]
+        more = [*(alone if not self.word_ends else ()), np.array([end_id], np.int32)]
+        sizes = np.array([len(x) for x in more], np.int64)
+        starts, counts = np.concatenate([starts, len(ids) + np.cumsum(sizes) - sizes]), np.concatenate([counts, sizes])
+        ids = np.concatenate([ids, *more])
+        index = np.insert(index, bounds[1:], len(counts) - 1)
+        starts, lengths = starts[index], counts[index]
         ends = np.cumsum(lengths)
         at = np.repeat((starts - (ends - lengths)).astype(np.int32), lengths)
         at += np.arange(len(at), dtype=np.int32)
