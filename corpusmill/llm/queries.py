@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html, licenses, neardup, packing, pii, quality, tokens, urls
+from . import compression, decontaminate, html, licenses, neardup, packing, pii, quality, tokens, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +49,10 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
@@ -57,5 +61,5 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_verdicts(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_minhash_near_dedup, op3_token_output, op4_quality_rules, op5_decontamination, op6_packing, op7_personal_data, op9_html_extraction, op10_url_filters)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_minhash_near_dedup, op3_token_output, op4_quality_rules, op5_decontamination, op6_packing, op7_personal_data, op8_quality_classifier, op9_html_extraction, op10_url_filters)}
 ORACLE_SQL: dict[str, str] = {"op1_license_scan": licenses.ORACLE, "op4_quality_rules": quality.ORACLE, "op5_decontamination": decontaminate.ORACLE, "op10_url_filters": urls.ORACLE}
