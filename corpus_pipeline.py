@@ -10,14 +10,20 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm import decontaminate, neardup, packing, pii, quality
-from corpusmill.llm.kit import staged
+from corpusmill.llm.kit import small_batches, staged
 from corpusmill.llm.queries import table, tokenizer_file
 from corpusmill.shipping import ship
 
 
+def ready(spark: SparkSession) -> None:
+    """What any stage needs, whoever calls it."""
+    ship(spark)
+    small_batches(spark)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that no quality rule rejects."""
-    ship(spark)
+    ready(spark)
     return quality.quality_filter(docs)
 
 
@@ -26,7 +32,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that repeat a doc_id are one document, whose first text by order stays. Rows without doc_id all stay.
     """
-    ship(spark)
+    ready(spark)
     found = neardup.near_duplicates(docs.select("doc_id", "text")).where("kept and doc_id is not null").select("doc_id").distinct()
     # the join's partitioning serves the window too
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
@@ -36,18 +42,19 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in which no window of the benchmark occurs."""
-    ship(spark)
+    ready(spark)
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with personal data replaced by its kind."""
+    ready(spark)
     return pii.masked(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of the documents in sequences: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    ship(spark)
+    ready(spark)
     return packing.pack_documents(docs, tokenizer_file("word_bpe_49k.json"))
 
 

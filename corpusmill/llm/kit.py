@@ -11,7 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 #: Values of splitmix64 and of a 64-bit polynomial; any odd constants would do.
 GOLDEN, MIX_A, MIX_B, BASE = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93
 #: Words whose hashes a worker remembers before it starts afresh.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 17
+#: Bytes of an Arrow batch between Spark and a Python worker; rows of text are far from even.
+BATCH_BYTES = 16 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's limit on the bytes of an Arrow batch to BATCH_BYTES, so that a worker's memory is bounded by it."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))) > BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
 
 
 def scratch_root(spark: SparkSession) -> str:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import compression, decontaminate, html, licenses, neardup, packing, pii, quality, tokens, urls
+from .kit import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +19,7 @@ def tokenizer_file(name: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
