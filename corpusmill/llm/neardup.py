@@ -174,9 +174,11 @@ def components(edges: DataFrame) -> DataFrame:
 def linked(names: list, sets: list[np.ndarray], percent: int = PERCENT) -> dict:
     """Union-find over the pairs of sets with 100 * intersection >= percent * union, all compared through postings of their elements."""
     n = len(sets)
+    if not n:
+        return {}
     size = np.array([len(x) for x in sets], np.int64)
     owner = np.repeat(np.arange(n), size)
-    order = np.argsort(np.concatenate(sets) if n else np.empty(0, np.uint64), kind="stable")
+    order = np.argsort(np.concatenate(sets), kind="stable")
     values, owners = np.concatenate(sets)[order], owner[order]
     starts = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
     stops = np.append(starts[1:], len(values))
