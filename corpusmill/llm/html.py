@@ -38,8 +38,10 @@ VOID = frozenset(["hr"])
 OUTSIDE = frozenset("aside button dialog dir fieldset footer form head menu nav search select".split())
 #: Names of parts that are no article, as words of class, id and role.
 OUTSIDE_NAMES = frozenset(
-    "ad ads adsense advert advertisement advertisements adverts alert banner breadcrumb breadcrumbs comment comments commentlist consent contentinfo cookie cookies discussion disqus footer gdpr hidden login menu modal nav navbar navigation newsletter notice notices overlay pager pagination popup promo promoted promotion recommended related replies respond search share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
+    "ad ads adsense advert advertisement advertisements adverts alert aside banner breadcrumb breadcrumbs colophon comment comments commentlist consent contentinfo cookie cookies discussion disqus feedback footer gdpr hidden login masthead menu modal nav navbar navigation newsletter notice notices overlay pager pagination popup promo promoted promotion reactions recommended related replies respond responses search share sharing sidebar signup social sponsor sponsored sponsors subscribe subscription toolbar topbar widget widgets".split()
 )
+#: A header by name is the page's, unless it stands in a marked article or has one of these names too.
+ARTICLE_NAMES = frozenset("article content entry post story".split())
 MARKED = frozenset(["article", "main"])
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>"""
@@ -51,13 +53,15 @@ NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:
 PUNCTUATION = re.compile(r"[.,;:!?…。、，؛؟]")
 
 
-def named_outside(attributes: str) -> bool:
+def named_outside(attributes: str, marked: bool) -> bool:
     for name, *values in NAMES.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
             return True
-        if name in ("class", "id", "role") and not OUTSIDE_NAMES.isdisjoint(re.split(r"[^a-z]+", value)):
-            return True
+        if name in ("class", "id", "role"):
+            words = re.split(r"[^a-z]+", value)
+            if not OUTSIDE_NAMES.isdisjoint(words) or "header" in words and not marked and ARTICLE_NAMES.isdisjoint(words):
+                return True
     return False
 
 
@@ -95,7 +99,7 @@ def blocks(html: str) -> list[tuple[str, str, bool, bool, int]]:
                 links = 0 if closes else 1
             elif tag in ("br", "wbr", "img", "input"):
                 parts.append(" ")
-            elif not closes and attributes and not attributes.endswith("/") and named_outside(attributes):
+            elif not closes and attributes and not attributes.endswith("/") and named_outside(attributes, stack[-1][3] if stack else False):
                 # an inline element that is no article, such as a hidden span, ends the block around it
                 flush()
                 _, path, _, marked = stack[-1] if stack else ("", "", True, False)
@@ -134,7 +138,7 @@ def blocks(html: str) -> list[tuple[str, str, bool, bool, int]]:
         if may:
             if tag in OUTSIDE or tag == "header" and not marked:
                 may = False
-            elif attributes and tag not in ("html", "body", "main", "h1") and named_outside(attributes):
+            elif attributes and tag not in ("html", "body", "main", "h1") and named_outside(attributes, marked):
                 may = False
         stack.append((tag, f"{path}/{tag}", may, marked or tag in MARKED))
     if at < len(html):

@@ -282,6 +282,12 @@ def test_html_without_article():
     assert html.main_text(page).split("\n")[0] == "Title" and "link" not in html.main_text(page) and html.main_text(page).count("\n") == 8
 
 
+def test_html_names():
+    page = '<body><div class="site-header"><p>Site name here.</p></div><div class="post-header"><h1>Title</h1></div><div class="post-body"><p>Long text of the post, with commas, and stops.</p></div><div id="reader_comments"><p>Me too, I say, at length here.</p></div></body>'
+    assert html.main_text(page) == "Title\nLong text of the post, with commas, and stops."
+    assert html.main_text('<article><p>a <span class="ad">buy</span> b</p><p hidden>x</p><p style="display: none">y</p></article>') == "a\nb"
+
+
 class Plain(HTMLParser):
     """Text of an article of paragraphs."""
 
