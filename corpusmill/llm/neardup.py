@@ -4,7 +4,7 @@ Every distinct shingle set has a signature of TREES runs of DEPTH MinHash values
 order of the corpus; neighbours in it that share a prefix of at least SHALLOW values are candidates. Regions
 (sets that candidates connect) become small enough for one task by demanding longer prefixes of those that
 are not. In a region all sets are compared exactly, in postings of their shingles, whatever their signatures
-say; regions that stay large at the full depth are compared exactly in pairs of blocks.
+say; larger regions are compared exactly in pairs of blocks, very large ones after they have deepened.
 
 With s the similarity and d the depth, a pair is missed with probability (1 - s ** d) ** TREES: at s = 0.85
 this is 7e-6 for the depth of 4 that regions start with.
@@ -24,8 +24,10 @@ from .kit import hashed_words, staged, window_hashes
 
 WORDS, PERCENT = 5, 85
 TREES, SHALLOW, DEPTH = 16, 4, 8
-#: Most sets and text bytes of a region that one task compares at once.
-REGION_SETS, REGION_BYTES = 4096, 48 << 20
+#: Most sets and text bytes of a region that one task compares at once; a larger one is cut into blocks that meet in pairs.
+REGION_SETS, REGION_BYTES = 4096, 16 << 20
+#: A region of more blocks than this must deepen first, as long as it can.
+REGION_BLOCKS = 8
 _RANDOM = np.random.default_rng(20170613)
 FACTORS = (_RANDOM.integers(1, 2**63, TREES * DEPTH, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 TERMS = _RANDOM.integers(0, 2**63, TREES * DEPTH, dtype=np.uint64)
@@ -208,14 +210,14 @@ def regions(edges: DataFrame, sizes: DataFrame) -> DataFrame:
         totals = found.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
         need = F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(REGION_SETS)), F.ceil(F.col("bytes") / F.lit(REGION_BYTES))).cast("int")
         found = staged(found.join(totals.select("root", need.alias("blocks")), "root").select("node", F.col("root").alias("region"), "blocks"), "regions")
-        small = found.where("blocks = 1")
-        large = found.where("blocks > 1")
+        large = found.where(F.col("blocks") > REGION_BLOCKS)
         depth += 1
-        if depth > DEPTH or not large.take(1):
-            return (found if done is None else done.union(found)).where("region is not null")
-        done = small if done is None else done.union(small)
-        inside = large.select(F.col("node").alias("a"))
-        edges = staged(edges.where(F.col("depth") >= depth).join(inside, "a", "left_semi"), "deeper")
+        last = depth > DEPTH or not large.take(1)
+        part = found if last else found.where(F.col("blocks") <= REGION_BLOCKS)
+        done = part if done is None else done.union(part)
+        if last:
+            return done
+        edges = staged(edges.where(F.col("depth") >= depth).join(large.select(F.col("node").alias("a")), "a", "left_semi"), "deeper")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -227,7 +229,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     else null, and are kept only then. An empty table gives no rows.
     """
     signed = staged(signatures(docs), "signatures")
-    classes = signed.where("high is not null").groupBy("high", "low").agg(F.min("doc_id").alias("node"))
+    # written out, so that below both sides of the join on it are dealt anew and a digest with very many copies can be split
+    classes = staged(signed.where("high is not null").groupBy("high", "low").agg(F.min("doc_id").alias("node")), "classes")
     nodes = classes.where("node is not null").select("node").distinct()
     distinct = signed.where("high is not null").join(nodes, signed["doc_id"] == nodes["node"], "left_semi").select(F.col("doc_id").alias("node"), "signature", "size")
     edges = staged(neighbours(distinct.select("node", "signature")), "links")

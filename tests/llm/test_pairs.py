@@ -76,9 +76,11 @@ def test_repeated_and_missing_ids(spark):
     assert sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in found) == [(0, 0, True), (0, 1, False), (1, 1, True), (1, 1, True), (2, 1, False)]
 
 
-def test_large_regions(spark, monkeypatch):
-    """Regions over the bound deepen, then meet in blocks; nothing is lost."""
+@pytest.mark.parametrize("blocks", [1, 8])
+def test_large_regions(spark, monkeypatch, blocks):
+    """Regions over the bound meet in blocks, or deepen first; nothing is lost."""
     monkeypatch.setattr(neardup, "REGION_SETS", 4)
+    monkeypatch.setattr(neardup, "REGION_BLOCKS", blocks)
     rng = random.Random(9)
     base = [f"w{k}" for k in range(200)]
     docs = [(k, " ".join([*base[:-1], f"tail{k}"])) for k in range(25)] + [(100 + k, " ".join(rng.sample(base, 50))) for k in range(5)]
