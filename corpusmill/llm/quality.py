@@ -19,7 +19,7 @@ WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 SPACES = "\t\n\x0b\x0c\r "
 #: Rows that costs and rejections are estimated on; they decide the order of the rules, never a verdict.
-SAMPLE_ROWS = 256
+SAMPLE_ROWS, SAMPLE_CHARS = 256, 100_000
 
 
 class Page:
@@ -108,25 +108,20 @@ RULES = (
 
 
 def rule_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES, rows: int = SAMPLE_ROWS) -> list[int]:
-    """Positions of the rules by rejections per second on a sample of rows texts, measured on an executor.
+    """Positions of the rules by rejections per second on a sample of at most rows texts of at most SAMPLE_CHARS characters.
 
-    On a sample every rule runs on a fresh Page, so a cost includes what the rule computes by itself. Equal
-    rules, and all on an empty table, keep their order. The order changes speed only: a verdict is the OR of all rules.
+    The sample comes from the first files that fill it and is measured on the driver. Every rule runs on a fresh
+    Page, so a cost includes what the rule computes by itself. Equal rules, and all on an empty table, keep their
+    order. The order changes speed only: a verdict is the OR of all rules.
     """
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spent, hits = [0.0] * len(rules), [0] * len(rules)
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                for k, rule in enumerate(rules):
-                    page, began = Page(text), time.perf_counter()
-                    hits[k] += rule.rejects(page)
-                    spent[k] += time.perf_counter() - began
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(rules)), pa.int32()), pa.array(spent), pa.array(hits, pa.int64())], ["rule", "spent", "hits"])
-
-    found = docs.select("text").limit(rows).mapInArrow(measure, "rule int, spent double, hits long").groupBy("rule").agg(F.sum("hits") / (F.sum("spent") + 1e-9)).collect()
-    worth = dict(map(tuple, found))
-    return sorted(range(len(rules)), key=lambda k: -worth.get(k, 0.0))
+    spent, hits = [1e-9] * len(rules), [0] * len(rules)
+    short = F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS
+    for row in docs.select("text").where(short).take(rows):
+        for k, rule in enumerate(rules):
+            page, began = Page(row.text), time.perf_counter()
+            hits[k] += rule.rejects(page)
+            spent[k] += time.perf_counter() - began
+    return sorted(range(len(rules)), key=lambda k: -hits[k] / spent[k])
 
 
 def verdict(page: Page, rules: list[Rule]) -> bool:
