@@ -12,8 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled rows of each class that a model is fitted on, and bytes of text of each class; half of them build the dictionary, half calibrate.
-TRAIN_ROWS, TRAIN_BYTES = 3000, 16 << 20
+#: Labelled rows of each class that a model is fitted on, characters of such a text at most, and of all of a class; half of them build the dictionary, half calibrate.
+TRAIN_ROWS, TRAIN_CHARS, TRAIN_TOTAL = 3000, 50_000, 16_000_000
 DICTIONARY_BYTES, LEVEL = 112 << 10, 3
 #: Scores from here on count as label 1.
 LIMIT = 0.3
@@ -91,18 +91,18 @@ def fit(rows: list[tuple[str | None, int]]) -> Model:
     return Model(good, bad, tuple(_logistic(x, np.array([y for _, y in rest], float)).tolist()))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, most_bytes: int = TRAIN_BYTES) -> list[tuple[str | None, int]]:
-    """(text, quality) of at most `rows` rows and about `most_bytes` of each class, none held out, chosen by a hash of doc_id."""
+def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS, total: int = TRAIN_TOTAL) -> list[tuple[str | None, int]]:
+    """(text, quality) of at most `rows` rows of at most `chars` characters, and about `total` of them, of each class; none held out, chosen by a hash of doc_id."""
     out: list[tuple[str | None, int]] = []
     able = labels.where(~held_out(F.col("doc_id"))).select("doc_id", "quality")
     for label in (0, 1):
         chosen = able.where(F.col("quality") == label).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
         size = 0
         # at most `rows` ids are broadcast
-        found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows)
+        found = docs.select("doc_id", "text").where(F.coalesce(F.length("text"), F.lit(0)) <= chars).join(F.broadcast(chosen), "doc_id").select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows)
         for row in found.toLocalIterator():
             size += len(row.text or "")
-            if size > most_bytes:
+            if size > total:
                 break
             out.append((row.text, label))
     return out
