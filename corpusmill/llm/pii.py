@@ -118,7 +118,10 @@ def find_spans(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     occurrences = staged(each.select("_row", F.col("x.s").alias("s"), F.col("x.e").alias("e"), F.col("x.surface").alias("surface"), F.col("x.context").alias("context"), F.col("x.shape").alias("shape"), seed.alias("seed")), "instances")
     trusted = staged(accepted_patterns(occurrences), "patterns")
     more = occurrences.where("seed is null").join(trusted, ["context", "shape"]).groupBy("_row").agg(F.collect_list(F.struct(F.col("kind").alias("k"), "s", "e")).alias("_more"))
-    out = first.drop("_found").join(more, "_row", "left")
+    # only rows with an instance that is no seed can have more; the others are not shuffled
+    free = F.exists("_found", lambda x: ~F.exists("_base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
+    none = F.lit(None).cast(more.schema["_more"].dataType)
+    out = first.where(free).drop("_found").join(more, "_row", "left").unionByName(first.where(~free).drop("_found").withColumn("_more", none))
     return out.withColumn("_spans", F.array_sort(F.concat("_base", F.coalesce("_more", F.array().cast("array<struct<k:int,s:int,e:int>>"))))).drop("_row", "_more")
 
 
