@@ -28,9 +28,9 @@ SPACES_MEET = r" [\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{
 #: Words in one call of the library; few enough that its buffers stay small.
 TOGETHER = 100
 #: Characters of text that are encoded at once.
-AT_ONCE = 16_000_000
+AT_ONCE = 10_000_000
 #: Words whose ids a worker remembers.
-KNOWN = 500_000
+KNOWN = 400_000
 #: Groups of words whose encodings are held at once.
 GROUPS = 50
 
