@@ -38,9 +38,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """df, dealt evenly if its files have too few splits for half the cores; large inputs stay as they are."""
+    """df, dealt evenly if its files have no more splits than there are cores (a small file is often one row group); larger inputs stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores else df
 
 
 def quote(value) -> str:
