@@ -15,6 +15,10 @@ from corpusmill.llm.queries import table, tokenizer_file
 from corpusmill.shipping import ship
 
 
+#: Word sets of this similarity in percent are near-duplicates of the stage; 85 is the contract of op2 alone.
+SIMILAR = 80
+
+
 def ready(spark: SparkSession) -> None:
     """What any stage needs, whoever calls it."""
     ship(spark)
@@ -28,12 +32,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest doc_id.
+    """One document of each group of near-duplicates (similarity 0.8 or more), the one with the smallest doc_id.
 
     Rows that repeat a doc_id are one document, whose first text by order stays. Rows without doc_id all stay.
     """
     ready(spark)
-    found = neardup.near_duplicates(docs.select("doc_id", "text")).where("kept and doc_id is not null").select("doc_id").distinct()
+    found = neardup.near_duplicates(docs.select("doc_id", "text"), SIMILAR).where("kept and doc_id is not null").select("doc_id").distinct()
     # the join's partitioning serves the window too
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
     named = docs.where("doc_id is not null").join(found, "doc_id", "left_semi").withColumn("_first", first).where("_first = 1")

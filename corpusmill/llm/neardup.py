@@ -1,18 +1,21 @@
 """Near-duplicate groups by an LSH forest with exact confirmation.
 
-Every distinct shingle set has a signature of TREES runs of DEPTH MinHash values. Each run is one sorted
+Every distinct shingle set has a signature of some runs of DEPTH MinHash values. Each run is one sorted
 order of the corpus; neighbours in it that share a prefix of at least SHALLOW values are candidates. Regions
 (sets that candidates connect) become small enough for one task by demanding longer prefixes of those that
 are not. In a region all sets are compared exactly, in postings of their shingles, whatever their signatures
 say; larger regions are compared exactly in pairs of blocks, very large ones after they have deepened.
 
-With s the similarity and d the depth, a pair is missed with probability (1 - s ** d) ** TREES: at s = 0.85
-this is 7e-6 for the depth of 4 that regions start with.
+With s the similarity and d the depth, a pair is missed with probability (1 - s ** d) ** runs. There are as many
+runs as bring this to MISSED where s is the threshold and d the depth of 4 that regions start with: 16 at 0.85
+(7e-6), 23 at 0.80 (5e-6).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -23,14 +26,25 @@ from pyspark.sql import functions as F
 from .kit import hashed_words, staged, window_hashes
 
 WORDS, PERCENT = 5, 85
-TREES, SHALLOW, DEPTH = 16, 4, 8
+SHALLOW, DEPTH = 4, 8
+#: Highest probability that a pair at the threshold is no candidate.
+MISSED = 7.5e-6
 #: Most sets and text bytes of a region that one task compares at once; a larger one is cut into blocks that meet in pairs.
 REGION_SETS, REGION_BYTES = 4096, 16 << 20
 #: A region of more blocks than this must deepen first, as long as it can.
 REGION_BLOCKS = 8
-_RANDOM = np.random.default_rng(20170613)
-FACTORS = (_RANDOM.integers(1, 2**63, TREES * DEPTH, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
-TERMS = _RANDOM.integers(0, 2**63, TREES * DEPTH, dtype=np.uint64)
+
+
+def runs(percent: int, depth: int, missed: float) -> int:
+    """The least number of runs of depth values of which a pair at the threshold shares none with probability missed at most."""
+    return math.ceil(math.log(missed) / math.log1p(-((percent / 100) ** depth))) if percent < 100 else 1
+
+
+@lru_cache
+def functions(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Odd factors and terms of n hash functions."""
+    random = np.random.default_rng(20170613)
+    return (random.integers(1, 2**63, n, dtype=np.uint64) << np.uint64(1)) | np.uint64(1), random.integers(0, 2**63, n, dtype=np.uint64)
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -38,16 +52,17 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(window_hashes(hashed_words((text or "").encode("utf-8", "surrogatepass").lower().split()), WORDS))
 
 
-def signature(found: np.ndarray) -> bytes:
-    """TREES * DEPTH MinHash values, 16 bits of each, in big-endian order so that bytes sort as values do."""
-    least = np.full(len(FACTORS), np.iinfo(np.uint64).max, np.uint64)
+def signature(found: np.ndarray, n: int) -> bytes:
+    """n MinHash values, 16 bits of each, in big-endian order so that bytes sort as values do."""
+    factors, terms = functions(n)
+    least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
     for k in range(0, len(found), 1024):
-        np.minimum(least, (found[None, k : k + 1024] * FACTORS[:, None] + TERMS[:, None]).min(1), out=least)
+        np.minimum(least, (found[None, k : k + 1024] * factors[:, None] + terms[:, None]).min(1), out=least)
     return ((least * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).astype(">u2").tobytes()
 
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, the set's digest as two longs (null for no shingles), its signature, bytes of text."""
+def signatures(docs: DataFrame, values: int) -> DataFrame:
+    """doc_id, n_shingles, the set's digest as two longs (null for no shingles), its signature of so many values, bytes of text."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -60,7 +75,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 digest = xxhash.xxh3_128_digest(found.tobytes())
                 high.append(int.from_bytes(digest[:8], "big", signed=True) if n[-1] else None)
                 low.append(int.from_bytes(digest[8:], "big", signed=True) if n[-1] else None)
-                signs.append(signature(found) if n[-1] else None)
+                signs.append(signature(found, values) if n[-1] else None)
                 size.append(len(text.as_py() or ""))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(signs, pa.binary()), pa.array(size, pa.int64())], ["doc_id", "n_shingles", "high", "low", "signature", "size"])
 
@@ -68,7 +83,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {kind}, n_shingles long, high long, low long, signature binary, size long")
 
 
-def neighbours(signed: DataFrame) -> DataFrame:
+def neighbours(signed: DataFrame, trees: int) -> DataFrame:
     """(a, b, depth): sets next to each other in one of the sorted orders, with a common prefix of depth >= SHALLOW values.
 
     The orders are cut by range, ties by node, so no prefix gathers in one task; each cut's two sides meet afterwards.
@@ -76,7 +91,7 @@ def neighbours(signed: DataFrame) -> DataFrame:
     spark = signed.sparkSession
     wide = 2 * DEPTH
     kind = signed.schema["node"].dataType.simpleString()
-    rows = signed.select(F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "signature", "node").select(
+    rows = signed.select(F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "signature", "node").select(
         "tree", F.expr(f"substring(signature, tree * {wide} + 1, {wide})").alias("key"), "node"
     )
 
@@ -220,20 +235,21 @@ def regions(edges: DataFrame, sizes: DataFrame) -> DataFrame:
         edges = staged(edges.where(F.col("depth") >= depth).join(large.select(F.col("node").alias("a")), "a", "left_semi"), "deeper")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable over links), kept (doc_id = component_id).
 
-    docs: doc_id, text; other columns are ignored. A row for each input row. Null or empty texts have no shingles
+    docs: doc_id, text; other columns are ignored. Sets link whose similarity is percent or more. A row for each input row. Null or empty texts have no shingles
     and link with nothing. Equal sets link at once by digest. Rows of one doc_id are versions of one document:
     what links with any of them is in its component. Rows without doc_id get the component of their exact copies,
     else null, and are kept only then. An empty table gives no rows.
     """
-    signed = staged(signatures(docs), "signatures")
+    trees = runs(percent, SHALLOW, MISSED)
+    signed = staged(signatures(docs, trees * DEPTH), "signatures")
     # written out, so that below both sides of the join on it are dealt anew and a digest with very many copies can be split
     classes = staged(signed.where("high is not null").groupBy("high", "low").agg(F.min("doc_id").alias("node")), "classes")
     nodes = classes.where("node is not null").select("node").distinct()
     distinct = signed.where("high is not null").join(nodes, signed["doc_id"] == nodes["node"], "left_semi").select(F.col("doc_id").alias("node"), "signature", "size")
-    edges = staged(neighbours(distinct.select("node", "signature")), "links")
+    edges = staged(neighbours(distinct.select("node", "signature"), trees), "links")
     sizes = distinct.groupBy("node").agg(F.max("size").alias("size"))
     placed = regions(edges, sizes)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -253,7 +269,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                 names.append(name)
                 sets.append(found)
         del seen
-        roots = linked(names, sets)
+        roots = linked(names, sets, percent)
         pairs = [(x, r) for x, r in roots.items() if x != r]
         return pd.DataFrame({"a": pd.Series([x for x, _ in pairs], dtype=frame["node"].dtype), "b": pd.Series([r for _, r in pairs], dtype=frame["node"].dtype), "final": bool(frame["blocks"].iloc[0] == 1)})
 
