@@ -1,20 +1,20 @@
 """Near-duplicate groups by an LSH forest with exact confirmation.
 
-Every distinct shingle set has a signature of some runs of DEPTH MinHash values. Each run is one sorted
-order of the corpus; neighbours in it that share a prefix of at least SHALLOW values are candidates. Regions
-(sets that candidates connect) become small enough for one task by demanding longer prefixes of those that
-are not. In a region all sets are compared exactly, in postings of their shingles, whatever their signatures
-say; larger regions are compared exactly in pairs of blocks, very large ones after they have deepened.
-
-With s the similarity and d the depth, a pair is missed with probability (1 - s ** d) ** runs. There are as many
-runs as bring this to MISSED where s is the threshold and d the depth of 4 that regions start with: 16 at 0.85
-(7e-6), 23 at 0.80 (5e-6).
+Every distinct shingle set has a signature of some runs of SHALLOW MinHash values. Each run is one sorted order
+of the corpus; neighbours in it that share all its values are candidates. In a region (sets that candidates
+connect) all sets are compared exactly, in postings of their shingles, whatever their signatures say; larger
+regions are compared exactly in pairs of blocks. The sets of very large regions are signed anew with more and
+longer runs, of DEEP values, whose candidates make smaller regions of them.
+
+With s the similarity and d the depth, a pair is missed with probability (1 - s ** d) ** runs. At either depth there
+are as many runs as bring this to MISSED / 2 where s is the threshold: 17 of 4 values and 40 of 8 at 0.85, 24 and 69
+at 0.80. So a pair at the threshold is missed with probability MISSED at most, however large its region is.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -26,12 +26,12 @@ from pyspark.sql import functions as F
 from .kit import hashed_words, staged, window_hashes
 
 WORDS, PERCENT = 5, 85
-SHALLOW, DEPTH = 4, 8
-#: Highest probability that a pair at the threshold is no candidate.
+SHALLOW, DEEP = 4, 8
+#: Highest probability that a pair at the threshold is missed.
 MISSED = 7.5e-6
 #: Most sets and text bytes of a region that one task compares at once; a larger one is cut into blocks that meet in pairs.
 REGION_SETS, REGION_BYTES = 4096, 16 << 20
-#: A region of more blocks than this must deepen first, as long as it can.
+#: The sets of a region of more blocks than this are signed anew first.
 REGION_BLOCKS = 8
 
 
@@ -83,13 +83,13 @@ def signatures(docs: DataFrame, values: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {kind}, n_shingles long, high long, low long, signature binary, size long")
 
 
-def neighbours(signed: DataFrame, trees: int) -> DataFrame:
-    """(a, b, depth): sets next to each other in one of the sorted orders, with a common prefix of depth >= SHALLOW values.
+def neighbours(signed: DataFrame, trees: int, depth: int) -> DataFrame:
+    """(a, b): sets next to each other in one of the sorted orders, with the same run of depth values.
 
-    The orders are cut by range, ties by node, so no prefix gathers in one task; each cut's two sides meet afterwards.
+    The orders are cut by range, ties by node, so no run gathers in one task; each cut's two sides meet afterwards.
     """
     spark = signed.sparkSession
-    wide = 2 * DEPTH
+    wide = 2 * depth
     kind = signed.schema["node"].dataType.simpleString()
     rows = signed.select(F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "signature", "node").select(
         "tree", F.expr(f"substring(signature, tree * {wide} + 1, {wide})").alias("key"), "node"
@@ -97,7 +97,7 @@ def neighbours(signed: DataFrame, trees: int) -> DataFrame:
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def side(tree, key, node):
-            return pa.RecordBatch.from_arrays([pa.array(node), pa.nulls(len(node), node.type), pa.array([None] * len(node), pa.int32()), pa.array(tree, pa.int32()), pa.array(key, pa.binary())], ["a", "b", "depth", "tree", "key"])
+            return pa.RecordBatch.from_arrays([pa.array(node), pa.nulls(len(node), node.type), pa.array(tree, pa.int32()), pa.array(key, pa.binary())], ["a", "b", "tree", "key"])
 
         last = None
         for batch in batches:
@@ -109,27 +109,21 @@ def neighbours(signed: DataFrame, trees: int) -> DataFrame:
             else:
                 tree, key, node = (pa.concat_arrays([x, y]) for x, y in zip(last, (tree, key, node), strict=True))
             last = [x.slice(len(x) - 1) for x in (tree, key, node)]
-            values = np.frombuffer(b"".join(key.to_pylist()), np.uint16).reshape(-1, DEPTH)
-            same = (values[1:] == values[:-1]).astype(np.int32)
+            values = np.frombuffer(b"".join(key.to_pylist()), f"V{wide}")
             trees = tree.to_numpy(zero_copy_only=False)
-            depth = np.cumprod(same, 1).sum(1) * (trees[1:] == trees[:-1])
-            at = np.flatnonzero(depth >= SHALLOW)
+            at = np.flatnonzero((values[1:] == values[:-1]) & (trees[1:] == trees[:-1]))
             if len(at):
-                yield pa.RecordBatch.from_arrays([node.take(pa.array(at)), node.take(pa.array(at + 1)), pa.array(depth[at].astype(np.int32)), pa.nulls(len(at), pa.int32()), pa.nulls(len(at), pa.binary())], ["a", "b", "depth", "tree", "key"])
+                yield pa.RecordBatch.from_arrays([node.take(pa.array(at)), node.take(pa.array(at + 1)), pa.nulls(len(at), pa.int32()), pa.nulls(len(at), pa.binary())], ["a", "b", "tree", "key"])
         if last is not None:
             yield side(last[0].to_pylist(), last[1].to_pylist(), last[2])
 
     ordered = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "tree", "key", "node").sortWithinPartitions("tree", "key", "node")
-    met = staged(ordered.mapInArrow(meet, f"a {kind}, b {kind}, depth int, tree int, key binary"), "neighbours")
+    met = staged(ordered.mapInArrow(meet, f"a {kind}, b {kind}, tree int, key binary"), "neighbours")
     # two rows for each partition
-    sides = sorted((r.tree, bytes(r.key), r.a) for r in met.where("depth is null").collect())
-    across = []
-    for (t, k, a), (u, m, b) in zip(sides, sides[1:]):
-        depth = next((i for i in range(DEPTH) if k[2 * i : 2 * i + 2] != m[2 * i : 2 * i + 2]), DEPTH) if t == u else 0
-        if depth >= SHALLOW:
-            across.append((a, b, depth))
-    links = met.where("depth is not null").select("a", "b", "depth").union(spark.createDataFrame(across, f"a {kind}, b {kind}, depth int"))
-    return links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "depth").groupBy("a", "b").agg(F.max("depth").alias("depth"))
+    sides = sorted((r.tree, bytes(r.key), r.a) for r in met.where("tree is not null").collect())
+    across = [(a, b) for (t, k, a), (u, m, b) in zip(sides, sides[1:]) if (t, k) == (u, m)]
+    links = met.where("tree is null").select("a", "b").union(spark.createDataFrame(across, f"a {kind}, b {kind}"))
+    return links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def rooted(pairs: Iterator[tuple]) -> dict:
@@ -217,22 +211,23 @@ def linked(names: list, sets: list[np.ndarray], percent: int = PERCENT) -> dict:
     return rooted(pairs)
 
 
-def regions(edges: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(node, region, blocks): what candidates connect; blocks is 1 for a region that one task compares, else into how many it must be cut."""
-    done, depth = None, SHALLOW
-    while True:
+def regions(edges: DataFrame, sizes: DataFrame, deeper: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(node, region, blocks): what candidates connect; blocks is 1 for a region that one task compares, else into how many it must be cut.
+
+    deeper gives the candidates among the nodes of very large regions, complete by themselves, which connect less.
+    """
+
+    def placed(edges: DataFrame) -> DataFrame:
         found = components(edges).join(sizes, "node")
         totals = found.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
         need = F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(REGION_SETS)), F.ceil(F.col("bytes") / F.lit(REGION_BYTES))).cast("int")
-        found = staged(found.join(totals.select("root", need.alias("blocks")), "root").select("node", F.col("root").alias("region"), "blocks"), "regions")
-        large = found.where(F.col("blocks") > REGION_BLOCKS)
-        depth += 1
-        last = depth > DEPTH or not large.take(1)
-        part = found if last else found.where(F.col("blocks") <= REGION_BLOCKS)
-        done = part if done is None else done.union(part)
-        if last:
-            return done
-        edges = staged(edges.where(F.col("depth") >= depth).join(large.select(F.col("node").alias("a")), "a", "left_semi"), "deeper")
+        return staged(found.join(totals.select("root", need.alias("blocks")), "root").select("node", F.col("root").alias("region"), "blocks"), "regions")
+
+    found = placed(edges)
+    large = found.where(F.col("blocks") > REGION_BLOCKS)
+    if not large.take(1):
+        return found
+    return found.where(F.col("blocks") <= REGION_BLOCKS).union(placed(deeper(large.select("node"))))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -243,15 +238,21 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     what links with any of them is in its component. Rows without doc_id get the component of their exact copies,
     else null, and are kept only then. An empty table gives no rows.
     """
-    trees = runs(percent, SHALLOW, MISSED)
-    signed = staged(signatures(docs, trees * DEPTH), "signatures")
+    trees, again = (runs(percent, depth, MISSED / 2) for depth in (SHALLOW, DEEP))
+    signed = staged(signatures(docs, trees * SHALLOW), "signatures")
     # written out, so that below both sides of the join on it are dealt anew and a digest with very many copies can be split
     classes = staged(signed.where("high is not null").groupBy("high", "low").agg(F.min("doc_id").alias("node")), "classes")
     nodes = classes.where("node is not null").select("node").distinct()
     distinct = signed.where("high is not null").join(nodes, signed["doc_id"] == nodes["node"], "left_semi").select(F.col("doc_id").alias("node"), "signature", "size")
-    edges = staged(neighbours(distinct.select("node", "signature"), trees), "links")
+    edges = staged(neighbours(distinct.select("node", "signature"), trees, SHALLOW), "links")
     sizes = distinct.groupBy("node").agg(F.max("size").alias("size"))
-    placed = regions(edges, sizes)
+
+    def deeper(nodes: DataFrame) -> DataFrame:
+        named = docs.select("doc_id", "text").join(nodes, docs["doc_id"] == nodes["node"], "left_semi")
+        resigned = staged(signatures(named, again * DEEP).where("high is not null").select(F.col("doc_id").alias("node"), "signature"), "resigned")
+        return staged(neighbours(resigned, again, DEEP), "links")
+
+    placed = regions(edges, sizes, deeper)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     # each block meets itself and every other of its region

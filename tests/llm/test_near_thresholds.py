@@ -5,6 +5,7 @@ import random
 from test_pairs import plain_sets
 
 import corpus_pipeline
+from corpusmill.llm import neardup
 from corpusmill.llm.neardup import near_duplicates, rooted
 from corpusmill.llm.queries import table
 
@@ -48,3 +49,13 @@ def test_stage_like_brute_force(spark):
     docs = table(spark, "/root/testdata/sf0.001", "documents")
     wanted = plain_roots([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()], 80)
     assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()} == {k for k, root in wanted.items() if k == root}
+
+
+def test_large_regions_lose_no_pairs(spark, monkeypatch):
+    """Each pair is a region of two blocks, which is over the bound."""
+    monkeypatch.setattr(neardup, "REGION_SETS", 1)
+    monkeypatch.setattr(neardup, "REGION_BLOCKS", 1)
+    rng = random.Random(5)
+    texts = [t for k in range(700) for t in similar_pair(rng, k, 0.85, 0.87)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.doc_id for r in near_duplicates(df, 85).collect() if r.component_id != r.doc_id - r.doc_id % 2] == []
