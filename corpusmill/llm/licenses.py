@@ -63,7 +63,7 @@ def license_scan(docs: DataFrame, known: DataFrame | None = None, notices: tuple
     spark = docs.sparkSession
     known = known_licenses(spark) if known is None else known
     by_digest = F.create_map(*(x for name, text in notices for x in (digest(F.lit(text)), F.lit(name))))
-    lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike("(?i)licen[cs]e|public domain") & (F.length(x) <= F.lit(2 * max(len(t) for _, t in notices))))
+    lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike("(?i)licen[cs]e|public domain"))
     named = F.filter(F.transform(lines, lambda x: F.try_element_at(by_digest, digest(x))), lambda x: x.isNotNull())
     out = docs.select("doc_id", digest(F.col("text")).alias("digest"), named.alias("_named"))
     if known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
