@@ -1,13 +1,17 @@
 """Token ids of whole texts, and files of them.
 
-The encoder splits each batch into words at white space, where these tokenizers never merge, encodes every
-distinct word of the batch once with the tokenizers library, and lays the ids out again by word. Texts in which
-a cut at a space could change the ids (white space after a space, in the byte-level kind) are encoded whole.
+Ids are those of the tokenizers library's encode(text, add_special_tokens=False). For two kinds of tokenizer the
+encoder splits each batch into words at white space, where these never merge, encodes every distinct word of the
+batch once, and lays the ids out again by word. Texts in which a cut at a space could change the ids (white space
+after a space, in the byte-level kind), texts that hold an added token's string, which the library looks for
+before anything else, and all texts of other kinds of tokenizer are encoded whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -28,13 +32,40 @@ SPACES_MEET = r" [\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{
 #: Words in one call of the library; few enough that its buffers stay small.
 TOGETHER = 100
 #: Characters of text that are encoded at once.
-AT_ONCE = 10_000_000
+AT_ONCE = 6_000_000
+#: Characters of texts that are encoded whole in one call of the library, unless a text is longer.
+WHOLE = 500_000
 #: Words whose ids a worker remembers.
 KNOWN = 400_000
 #: Groups of words whose encodings are held at once.
 GROUPS = 50
 
 
+def kind_of(settings: dict) -> str:
+    """"bytes" (byte-level, nothing normalised), "words" (word ends, white space dropped), or "other", of a tokenizer's file.
+
+    Only settings that are known to keep words apart give a kind; whatever differs from them is other.
+    """
+    steps = lambda x, name: [x] if x and x["type"] != "Sequence" else (x or {}).get(name, [])
+    normalizers, splits, model = steps(settings["normalizer"], "normalizers"), steps(settings["pre_tokenizer"], "pretokenizers"), settings["model"]
+    plain = all(not (t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"]) for t in settings["added_tokens"])
+    usual = model["type"] == "BPE" and not (model.get("dropout") or model.get("continuing_subword_prefix") or model.get("byte_fallback") or model.get("unk_token"))
+    after = settings.get("post_processor")
+    if not plain or not usual or after and after["type"] != "ByteLevel" or settings.get("truncation") or settings.get("padding"):
+        return "other"
+    names = [x["type"] for x in splits]
+    levels = [x for x in splits if x["type"] == "ByteLevel" and not x["add_prefix_space"]]
+    if not normalizers and names == ["ByteLevel"] and levels and levels[0].get("use_regex", True) and not model.get("end_of_word_suffix"):
+        return "bytes"
+    lower = [x["type"] for x in normalizers] == ["NFC", "Replace", "Lowercase"] and normalizers[1]["pattern"] == {"Regex": r"\s+"} and normalizers[1]["content"] == " "
+    apart = names == ["Split", "ByteLevel"] and levels and not levels[0].get("use_regex", True) and splits[0]["invert"] and splits[0]["behavior"] == "Removed" and splits[0]["pattern"] == WORDS
+    return "words" if lower and apart and model.get("end_of_word_suffix") == "</w>" else "other"
+
+
+#: Fixed value: the pattern of the word kind, none of whose matches holds white space.
+WORDS = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
+
+
 class Encoder:
     """Encodes columns of texts with one tokenizer file. word_ends: the kind whose tokens mark the ends of words and that drops white space."""
 
@@ -43,9 +74,15 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        with open(path, encoding="utf-8") as file:
+            settings = json.load(file)
         vocabulary = self.tokenizer.get_vocab()
-        self.word_ends = "the</w>" in vocabulary
+        self.kind = kind_of(settings)
+        self.word_ends = self.kind == "words"
+        added = sorted(re.escape(t["content"]) for t in settings["added_tokens"] if t["content"])
+        odd = [*added, *([SPACES_MEET] if self.kind == "bytes" else ())]
+        #: What a text holds that must be encoded whole.
+        self.odd = "|".join(odd) or None
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
         self.known: dict[str, int] = {}
         self.known_ids, self.known_counts = np.empty(0, np.int32), np.empty(0, np.int64)
@@ -55,6 +92,16 @@ class Encoder:
     def plain(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, np.int32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def wholes(self, texts: list[str]) -> list[np.ndarray]:
+        """plain() of few texts at a time, for what the library holds of an encoded text is much larger than its ids."""
+        out, begin, size = [], 0, 0
+        for k, text in enumerate(texts):
+            if k > begin and size + len(text) > WHOLE:
+                out += self.plain(texts[begin:k])
+                begin, size = k, 0
+            size += len(text)
+        return out + (self.plain(texts[begin:]) if begin < len(texts) else [])
+
     def widths(self, words: pa.Array) -> np.ndarray:
         """Bytes of each word's tokens."""
         size = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -113,12 +160,16 @@ class Encoder:
 
     def _some(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         n, whole = len(texts), {}
-        if self.word_ends:
-            lists = pc.ascii_split_whitespace(texts)
-        else:
-            odd = np.flatnonzero(pc.match_substring_regex(texts, SPACES_MEET).to_numpy(zero_copy_only=False))
-            whole = dict(zip(odd.tolist(), self.plain([texts[i].as_py() for i in odd.tolist()]), strict=True))
-            lists = pc.split_pattern(texts, " ")
+        if self.kind == "other":
+            found = [np.append(x, np.int32(end_id)) for x in self.wholes(texts.to_pylist())]
+            return np.concatenate([np.empty(0, np.int32), *found]), np.array([len(x) for x in found], np.int64)
+        if self.odd:
+            mask = pc.match_substring_regex(texts, self.odd)
+            odd = np.flatnonzero(mask.to_numpy(zero_copy_only=False)).tolist()
+            if odd:
+                whole = dict(zip(odd, self.wholes([texts[i].as_py() for i in odd]), strict=True))
+                texts = pc.if_else(mask, "", texts)
+        lists = pc.ascii_split_whitespace(texts) if self.word_ends else pc.split_pattern(texts, " ")
         bounds = lists.offsets.to_numpy().astype(np.int64)
         coded = lists.flatten().dictionary_encode()
         vocabulary, index = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -173,15 +224,25 @@ LAYOUT = {
 }
 
 
+#: Bytes of input files that one token file is made of, at most about; fewer where there are more shuffle partitions.
+SHARD_BYTES = 256 << 20
+
+
+def shards_for(docs: DataFrame) -> int:
+    """Token files for docs: by the bytes that Spark expects to read, where it knows them, and at least a shuffle's partitions."""
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(least, -(-size // SHARD_BYTES)) if size < 1 << 60 else least
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, shards: int | None = None) -> None:
     """Encode docs (doc_id, text) into token files under path, in ascending doc_id order over and within shards.
 
     Files have doc_id, shard, shard_start (ids before the document in its shard), n_tokens, ids. Null text is
-    empty: its only id is end_id. Rows of equal doc_id all stay, ordered by text; a null doc_id comes first.
-    Other columns are ignored. No file has rows for an empty table.
+    empty: its only id is end_id. Rows of equal doc_id all stay, ordered by a hash of their text, and may lie in
+    several shards; a null doc_id comes first. Other columns are ignored. No file has rows for an empty table.
     """
-    spark = docs.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards or shards_for(docs)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, before, coder = TaskContext.get().partitionId(), 0, encoder(tokenizer_path)
@@ -195,7 +256,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, s
             before += int(ends[-1]) if len(ends) else 0
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    ordered = docs.select("doc_id", "text").repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
+    by = ["doc_id", F.xxhash64("text"), "text"]  # the bounds of the ranges are sampled from ids and hashes, not from texts
+    ordered = docs.select("doc_id", "text").repartitionByRange(shards, *by[:2]).sortWithinPartitions(*by)
     ordered.mapInArrow(encode, f"doc_id {kind}, shard int, shard_start long, n_tokens long, ids array<int>").write.options(**LAYOUT).parquet(path)
 
 

@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -46,11 +47,20 @@ def test_licenses_by_shuffle(spark, monkeypatch):
 
 # --- op3, op6 ---
 
+@lru_cache
+def fresh(name):
+    """The library's own tokenizer of that file, with no setting changed."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokenizer_file(name))
+
+
+SPECIAL = ["<|endoftext|>", "hello <|endoftext|> world", "<|startoftext|>x <|EndOfText|>", "a<|endoftext|><|endoftext|>  b\n", "<|endoftext"]
 AWKWARD = st.text(alphabet="ab é'’1.\n\t  　\x1c😀<|>İßﬁ", max_size=60)
 
 
 @settings(max_examples=40, deadline=None)
-@given(st.lists(st.one_of(AWKWARD, st.just("<|endoftext|>"), st.text(max_size=30)), min_size=1, max_size=6))
+@given(st.lists(st.one_of(AWKWARD, st.sampled_from(SPECIAL), st.text(max_size=30)), min_size=1, max_size=6))
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_encoder(name, texts):
     import pyarrow as pa
@@ -58,18 +68,51 @@ def test_encoder(name, texts):
     texts = [t.encode("utf-8", "ignore").decode() for t in texts]
     coder = tokens.encoder(tokenizer_file(name))
     ids, sizes = coder.column(pa.array(texts), 2)
-    wanted = [[*coder.tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    wanted = [[*fresh(name).encode(t, add_special_tokens=False).ids, 2] for t in texts]
     assert ids.tolist() == [x for w in wanted for x in w] and sizes.tolist() == list(map(len, wanted))
 
 
+def test_special_strings():
+    import pyarrow as pa
+
+    for name, n in (("byte_bpe_50k.json", 4), ("word_bpe_49k.json", 4)):
+        ids, sizes = tokens.encoder(tokenizer_file(name)).column(pa.array([SPECIAL[1], None]), 2)
+        assert ids.tolist() == [*fresh(name).encode(SPECIAL[1], add_special_tokens=False).ids, 2, 2] and len(fresh(name).encode(SPECIAL[1], add_special_tokens=False).ids) == sizes[0] - 1 <= n
+
+
+def test_kinds_of_tokenizers(tmp_path):
+    import json
+
+    import pyarrow as pa
+
+    settings = {n: json.load(open(tokenizer_file(n))) for n in ("byte_bpe_50k.json", "word_bpe_49k.json")}
+    assert [tokens.kind_of(x) for x in settings.values()] == ["bytes", "words"]
+    odd = settings["byte_bpe_50k.json"] | {"normalizer": {"type": "Lowercase"}}
+    assert tokens.kind_of(odd) == "other" and tokens.kind_of(settings["byte_bpe_50k.json"] | {"pre_tokenizer": None}) == "other"
+    (tmp_path / "odd.json").write_text(json.dumps(odd))
+    from tokenizers import Tokenizer
+
+    ids, _ = tokens.Encoder(str(tmp_path / "odd.json")).column(pa.array(["Hello World  x", None]), 2)
+    assert ids.tolist() == [*Tokenizer.from_file(str(tmp_path / "odd.json")).encode("Hello World  x", add_special_tokens=False).ids, 2, 2]
+
+
+def test_repeated_and_missing_ids_in_files(spark, tmp_path):
+    rows = [(1, "a b"), (1, "a b"), (None, "c"), (None, None), (0, "d e f"), (1, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    tokens.write_tokens(df, f"{tmp_path}/t", tokenizer_file("byte_bpe_50k.json"), 2, shards=4)
+    found = sorted((r.start, r.doc_id, r.n_tokens) for r in tokens.read_tokens(spark, f"{tmp_path}/t").collect())
+    assert [x for _, x, _ in found] == [None, None, 0, 1, 1, 1]
+    assert [a + n for a, _, n in found][:-1] == [a for a, _, _ in found][1:] and found[0][0] == 0
+
+
 def test_token_files(spark, tmp_path):
     path, out = tokenizer_file("byte_bpe_50k.json"), f"{tmp_path}/t"
     rng = random.Random(1)
-    texts = [*ODD, *(" ".join(rng.choice(["alpha", "beta", "Gamma,", "1234"]) for _ in range(50)) for _ in range(40))]
+    texts = [*ODD, *SPECIAL, *(" ".join(rng.choice(["alpha", "beta", "Gamma,", "1234"]) for _ in range(50)) for _ in range(40))]
     df = frame(spark, texts).withColumn("doc_id", 100 - F.col("doc_id"))
     tokens.write_tokens(df, out, path, 2, shards=3)
     rows = tokens.token_digests(tokens.read_tokens(spark, out)).orderBy("doc_id").collect()
-    coder, at = tokens.encoder(path).tokenizer, 0
+    coder, at = fresh("byte_bpe_50k.json"), 0
     for r, t in zip(rows, reversed(texts), strict=True):
         ids = np.array([*coder.encode(t or "", add_special_tokens=False).ids, 2], "<u4")
         assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids.tobytes()))
@@ -91,9 +134,9 @@ def test_token_file_layout(spark, tmp_path):
 def test_packing(spark):
     path = tokenizer_file("word_bpe_49k.json")
     rng = random.Random(2)
-    texts = [*ODD, *(" ".join(rng.choice(["alpha", "beta", "gamma", "1234"]) for _ in range(rng.randrange(1, 3000))) for _ in range(60))]
+    texts = [*ODD, *SPECIAL, *(" ".join(rng.choice(["alpha", "beta", "gamma", "1234"]) for _ in range(rng.randrange(1, 3000))) for _ in range(60))]
     rows = packing.pack_documents(frame(spark, texts), path).collect()
-    coder, taken = tokens.encoder(path).tokenizer, Counter()
+    coder, taken = fresh("word_bpe_49k.json"), Counter()
     for r in rows:
         ids = np.array([*coder.encode(texts[r.doc_id] or "", add_special_tokens=False).ids, 2], "<u4")
         assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
