@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
@@ -48,6 +49,17 @@ def release(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_names(columns: Iterable[str], *names: str) -> list[str]:
+    """The names, each with as many underscores after it as make it differ from all of columns, whatever their case."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """splitmix64's finaliser over uint64."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(MIX_A)

@@ -22,27 +22,29 @@ PREFIX_RULES = (
 
 @dataclass(frozen=True)
 class Pattern:
-    """Blocks a URL in which all tokens stand as whole tokens ([a-z0-9]+ of the URL, A-Z lower-cased) and the expression is found."""
+    """Blocks a URL (A-Z lower-cased) in which a regular expression is found.
+
+    tokens are runs of [a-z0-9] that every URL the expression is found in holds as whole tokens, so that the rule may be
+    filed under any of them; an expression with alternatives of other tokens is several patterns. Without tokens it is
+    tried on every URL.
+    """
 
     tokens: tuple[str, ...]
     expression: str
 
 
-def word(*alternatives: str) -> list[Pattern]:
-    """Each alternative as a whole token of the host."""
-    return [Pattern((x,), rf"://[^/?#]*\b{x}\b") for x in alternatives]
+def in_host(*phrases: str) -> list[Pattern]:
+    """A pattern for each phrase (tokens with characters between them), which must stand in the host between ends of tokens."""
+    return [Pattern(tuple(TOKEN.findall(x)), rf"://(?:[^/?#]*[^a-z0-9/?#])?{re.escape(x)}(?:[^a-z0-9]|$)") for x in phrases]
 
 
+TOKEN = re.compile("[a-z0-9]+")
 PATTERNS = (
-    *word("adult", "casino", "escort", "gambling", "malware", "phishing", "poker", "porn", "roulette", "slots", "spam", "warez", "xxx"),
-    Pattern(("ads", "track"), r"://[^/?#]*\bads-track\b"),
-    Pattern(("ad", "server"), r"://[^/?#]*\bad-?server\b"),
-    Pattern(("doubleclick", "net"), r"://[^/?#]*\bdoubleclick\.net(?:[/?#:]|$)"),
-    Pattern(("free", "bets"), r"://[^/?#]*\bfree-bets?\b"),
-    Pattern(("sports", "bets"), r"://[^/?#]*\bsports-bets?\b"),
-    Pattern(("cheap", "pills"), r"://[^/?#]*\bcheap-pills?\b"),
-    Pattern(("buy", "viagra"), r"\bbuy-viagra\b"),
-    Pattern(("banner", "click"), r"/banner/click\b"),
+    *in_host("adult", "casino", "escort", "gambling", "malware", "phishing", "poker", "porn", "roulette", "slots", "spam", "warez", "xxx"),
+    *in_host("ads-track", "ad-server", "adserver", "free-bet", "free-bets", "sports-bet", "sports-bets", "cheap-pill", "cheap-pills"),
+    Pattern(("doubleclick", "net"), r"://(?:[^/?#]*[^a-z0-9/?#])?doubleclick\.net(?:[^a-z0-9.-]|$)"),
+    Pattern(("buy", "viagra"), r"(?:^|[^a-z0-9])buy-viagra(?:[^a-z0-9]|$)"),
+    Pattern(("banner", "click"), r"/banner/click(?:[^a-z0-9]|$)"),
 )
 
 
@@ -59,13 +61,18 @@ def rarity(urls: DataFrame, patterns: tuple[Pattern, ...] = PATTERNS) -> dict[st
 
 
 def index_of(patterns: tuple[Pattern, ...], counts: dict[str, int]) -> dict[str, list[re.Pattern]]:
-    """Patterns under the one of their tokens that is rarest in the table (the first by name among equals)."""
+    """Patterns under the one of their tokens that is rarest in the table (the first by name among equals); under "" those without."""
     index: dict[str, list[re.Pattern]] = {}
     for p in patterns:
-        index.setdefault(min(p.tokens, key=lambda t: (counts.get(t, 0), t)), []).append(re.compile(p.expression, re.ASCII))
+        index.setdefault(min(p.tokens, key=lambda t: (counts.get(t, 0), t), default=""), []).append(re.compile(p.expression, re.ASCII))
     return index
 
 
+def found_in(url: str, index: dict[str, list[re.Pattern]]) -> bool:
+    """Whether one of the indexed patterns is found in a URL with A-Z lower-cased; only those under its tokens are tried."""
+    return any(p.search(url) for t in {"", *TOKEN.findall(url)} for p in index.get(t, ()))
+
+
 def split(url: str | None) -> tuple[str, str]:
     """(host, path): host after the first :// with A-Z in lower case; both empty without one."""
     rest = (url or "").partition("://")[2]
@@ -79,7 +86,8 @@ def url_verdicts(pages: DataFrame, patterns: tuple[Pattern, ...] = PATTERNS, pre
 
     rule is the longest prefix rule that fits, host and path joined, and gives the verdict; without one, rule is
     null and the verdict is block if a pattern is found, else allow. A null or odd URL has an empty host and
-    path, fits no rule and is allowed unless a pattern is found in it.
+    path, fits no rule and is allowed unless a pattern is found in it. A row's verdict depends on its own URL alone:
+    the table decides only under which token a pattern is filed. Of prefix rules that are equally long, the first wins.
     """
     index = index_of(patterns, rarity(pages, patterns))
     by_host: dict[str, list[tuple[str, str]]] = {}
@@ -87,7 +95,6 @@ def url_verdicts(pages: DataFrame, patterns: tuple[Pattern, ...] = PATTERNS, pre
         by_host.setdefault(host, []).append((path, says))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = re.compile("[a-z0-9]+")
         lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
         for batch in batches:
             rows = []
@@ -100,8 +107,7 @@ def url_verdicts(pages: DataFrame, patterns: tuple[Pattern, ...] = PATTERNS, pre
                     fits += [(suffix + p, says) for p, says in by_host.get(suffix, ()) if path.startswith(p)]
                 rule, verdict = max(fits, key=lambda x: len(x[0]), default=(None, None))
                 if rule is None:
-                    small = (url or "").translate(lower)
-                    verdict = "block" if any(p.search(small) for t in set(token.findall(small)) for p in index.get(t, ())) else "allow"
+                    verdict = "block" if found_in((url or "").translate(lower), index) else "allow"
                 rows.append((host, path, rule, verdict))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[k] for r in rows], pa.string()) for k in range(4))], ["page_id", "host", "path", "rule", "verdict"])
 

@@ -10,13 +10,14 @@ from html.parser import HTMLParser
 
 import numpy as np
 import pytest
+from oracle import same
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from corpusmill.llm import compression, decontaminate, html, licenses, packing, pii, quality, tokens, urls
 from corpusmill.llm.license_texts import LICENSES
-from corpusmill.llm.queries import tokenizer_file
+from corpusmill.llm.queries import op10_url_filters, tokenizer_file
 
 ODD = [None, "", " ", "\n\n", "a", "word " * 30_000, "é😀 ü", "same line\nsame line\nsame line", "A B C D E A B C D E A B C D E", "###|||", "x" * 50_000]
 
@@ -389,4 +390,40 @@ def test_urls(spark):
 
 def test_rarest_token():
     index = urls.index_of(urls.PATTERNS, {"cheap": 10, "pills": 2, "free": 1, "bets": 5, "ads": 1, "track": 1})
-    assert "pills" in index and "cheap" not in index and "free" in index and "ads" in index
+    assert "pills" in index and "free" in index and "ads" in index and len(index["ads"]) == 1 and "track" not in index
+    assert urls.index_of((urls.Pattern(("b", "a"), "x"), urls.Pattern((), "y")), {}).keys() == {"a", ""}
+
+
+PIECES = ["http://", "https://", "ad", "ads", "server", "adserver", "track", "free", "bet", "bets", "sports", "cheap", "pill", "pills", "casino", "xxx", "doubleclick", "net", "org", "buy", "viagra", "banner", "click", "-", "-", ".", ".", "/", "/", "?", "#", ":", "_", "é", "A", "CASINO", "1"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=12), st.dictionaries(st.sampled_from(PIECES), st.integers(0, 9)))
+def test_index_like_all_rules(pieces, counts):
+    """Whatever the table's counts are, the index finds what trying every pattern finds, and what SQL's expressions mean."""
+    url = "".join(pieces).translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    assert urls.found_in(url, urls.index_of(urls.PATTERNS, counts)) == any(re.search(p.expression, url, re.ASCII) for p in urls.PATTERNS)
+    assert all(set(p.tokens) <= set(re.findall("[a-z0-9]+", url)) for p in urls.PATTERNS if re.search(p.expression, url, re.ASCII))
+
+
+def test_verdicts_do_not_depend_on_other_rows(spark):
+    some = ["http://adserver.org/x", "http://ad-server.org/x", "http://free-bet.org/", "http://sports-bets.org", "http://x.org/adserver", "http://my-adserver.org", None]
+    more = ["http://bets.org/", "http://bets.net", "http://x.org/bets", *["http://server.org/ad"] * 5, *["http://x.org/free"] * 3]
+    table = lambda rows: spark.createDataFrame([(k, u) for k, u in enumerate(rows)], "page_id long, url string")
+    alone = [r.verdict for r in urls.url_verdicts(table(some)).orderBy("page_id").collect()]
+    assert alone == ["block", "block", "block", "block", "allow", "block", "allow"]
+    assert [r.verdict for r in urls.url_verdicts(table(some + more)).orderBy("page_id").limit(len(some)).collect()] == alone
+
+
+def test_long_and_repeated_urls(spark):
+    url = "http://a.org/" + "x" * 200_000 + "/casino"
+    rows = spark.createDataFrame([(1, url), (1, url), (None, "http://casino.org"), (2, "http://" + "a." * 5000 + "com/")], "page_id long, url string")
+    found = sorted((r.page_id or 0, r.rule or "", r.verdict) for r in urls.url_verdicts(rows).collect())
+    assert found == [(0, "", "block"), (1, "", "allow"), (1, "", "allow"), (2, "com/", "allow")]
+
+
+def test_urls_like_sql(spark, tmp_path):
+    rng = random.Random(7)
+    rows = [(k, "".join(rng.choice(PIECES) for _ in range(rng.randrange(1, 9)))) for k in range(400)] + [(400, "http://adserver.org/x"), (401, None)]
+    spark.createDataFrame(rows, "page_id long, url string").toPandas().to_parquet(tmp_path / "pages.parquet")
+    same(spark, op10_url_filters, urls.ORACLE, str(tmp_path))
