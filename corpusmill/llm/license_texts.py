@@ -19,6 +19,11 @@ LICENSES = (
     ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."),
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.'),
     ("GPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. For more information, please refer to <https://unlicense.org/>"),
+    ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003 Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following: The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("GPL-2.0-or-later", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
+    ("AGPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details. You should have received a copy of the GNU Affero General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."),
 )
 
 NOTICES = (
@@ -38,3 +43,22 @@ NOTICES = (
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
     ("CC0-1.0", "This work is dedicated to the public domain."),
 )
+
+#: Canonical digests of whole licences, as published by their stewards (files of the usual names, LICENSE or COPYING).
+#: They follow from licenses.STEPS and must be made anew when those change; a test makes them from the texts where a machine has these.
+DIGESTS = (
+    ("Apache-2.0", "83a8cf9059cc2b0f7e0f2436f017aebc1fffd5131f463feb383c0d891946a420"),
+    ("Artistic-1.0-Perl", "065afd054b7b3891100d80895d113a7c684cbc25122fa1c526244c852fe5a9ba"),
+    ("BSD-3-Clause", "e8daa50c96df2ade9d116da144a66a3e46944a78c9ae7c49064074817a5d8988"),
+    ("CC0-1.0", "3fdb2fb4ceb03263fd0f71387f08b42510389d3a4d966bf01311bcca12713350"),
+    ("GFDL-1.2-only", "d50c72f802fd65b68fefdacc125a5dc5d60d876b08089cc01d65e48fc4ddee5e"),
+    ("GFDL-1.3-only", "c136842c3bb94c66f9158ddea107c935e305b1f3d74c98797ad031c4abf1d065"),
+    ("GPL-1.0-only", "b6f369bdd84e6de75aa454489b778914b3d31b942699818c08c8b6b8e362011e"),
+    ("GPL-2.0-only", "f9cf9807e2e5ac5b160d73bdce9541e085753073a312c94c3f51e92139c3ced1"),
+    ("GPL-3.0-only", "9ce4f17c723dbec0699012a42dd74d884fac5f8e3868a700c37dd3c9e50e0157"),
+    ("LGPL-2.0-only", "fe4137135186f54987531d2889b286014e6628f86033fce3b12db2a979d0d813"),
+    ("LGPL-2.1-only", "eff97d5cecec1566811399644ac3211023c9ccd006c1d469daf18311199076b1"),
+    ("LGPL-3.0-only", "9111884d93a72b30a3d024876dab3d755949ac2cfab230268a4169a93b86560c"),
+    ("MPL-1.1", "033bcf1944a4b4f91a34323d3292a0518cc5cc614e491660e90d130399d9de37"),
+    ("MPL-2.0", "b95191296917903da71f2ed91035c5b76e6c26a34058433ebd22377882643d79"),
+)

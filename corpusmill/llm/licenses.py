@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .license_texts import LICENSES, NOTICES
+from .license_texts import DIGESTS, LICENSES, NOTICES
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Known texts up to this number are broadcast; more are joined by shuffling digests.
@@ -46,10 +46,11 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
-def known_licenses(spark: SparkSession, texts: tuple[tuple[str, str], ...] = LICENSES) -> DataFrame:
-    """license_id, digest of (license_id, text) pairs; of texts that are equal in canonical form, the first by name."""
-    rows = F.inline(F.array(*(F.struct(F.lit(name).alias("license_id"), F.lit(text).alias("text")) for name, text in texts)))
-    return spark.range(1).select(rows).select("license_id", digest(F.col("text")).alias("digest")).groupBy("digest").agg(F.min("license_id").alias("license_id"))
+def known_licenses(spark: SparkSession, texts: tuple[tuple[str, str], ...] = LICENSES, digests: tuple[tuple[str, str], ...] = DIGESTS) -> DataFrame:
+    """license_id, digest of (license_id, text) and (license_id, digest) pairs; of texts that are equal in canonical form, the first by name."""
+    rows = lambda pairs, name: spark.range(1).select(F.inline(F.array(*(F.struct(F.lit(x).alias("license_id"), F.lit(y).alias(name)) for x, y in pairs))))
+    known = rows(texts, "text").select("license_id", digest(F.col("text")).alias("digest"))
+    return known.union(rows(digests, "digest")).groupBy("digest").agg(F.min("license_id").alias("license_id"))
 
 
 def license_scan(docs: DataFrame, known: DataFrame | None = None, notices: tuple[tuple[str, str], ...] = NOTICES) -> DataFrame:
@@ -84,7 +85,8 @@ def _literal(text: str) -> str:
 
 
 ORACLE = f"""
-WITH known AS (SELECT d, min(id) AS license_id FROM (SELECT id, sha256({_sql('t')}) AS d FROM (VALUES {', '.join(f"('{n}', {_literal(t)})" for n, t in LICENSES)}) AS v(id, t)) GROUP BY d),
+WITH known AS (SELECT d, min(id) AS license_id FROM (SELECT id, sha256({_sql('t')}) AS d FROM (VALUES {', '.join(f"('{n}', {_literal(t)})" for n, t in LICENSES)}) AS v(id, t)
+  UNION ALL SELECT * FROM (VALUES {', '.join(f"('{n}', '{d}')" for n, d in DIGESTS)}) AS w(id, d)) GROUP BY d),
 notes AS (SELECT id, {_sql('t')} AS c FROM (VALUES {', '.join(f"('{n}', {_literal(t)})" for n, t in NOTICES)}) AS v(id, t)),
 lines AS (SELECT doc_id, {_sql('line')} AS c FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) WHERE regexp_matches(line, '(?i)licen[cs]e|public domain')),
 found AS (SELECT doc_id, count(*) AS n, string_agg(DISTINCT id, ',' ORDER BY id) AS names FROM lines JOIN notes USING (c) GROUP BY doc_id)
