@@ -7,6 +7,7 @@ and on tags have nothing to find in those tables; their queries carry literal ro
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from .functions import fields, text
 from .operators import credibility, dedup, entities, graph, quality, stats
 from .plans import ingest, schema
+from .sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,10 +39,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
+#: Bytes of files up to which a table is dealt anew over the cores; the shuffle is never larger than that.
+SPREAD_BYTES = 256 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """df, dealt evenly if its files have no more splits than there are cores (a small file is often one row group); larger inputs stay as they are."""
+    """df, dealt evenly if its files are few and small (a small file is often one row group); larger inputs stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores else df
+    if df.rdd.getNumPartitions() > cores or int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) > SPREAD_BYTES:
+        return df
+    return df.repartition(cores)
 
 
 def quote(value) -> str:
@@ -210,7 +218,7 @@ e AS (SELECT *, list_filter([CASE WHEN words < 50 THEN concat('Too short: ', wor
          CASE WHEN text = '' THEN 'Missing required fields: text' END], lambda x: x IS NOT NULL) AS errors,
        round(((CASE WHEN words >= 200 THEN least(words / 1000::DOUBLE, 1::DOUBLE) WHEN words >= 100 THEN 0.7::DOUBLE WHEN words >= 50 THEN 0.4::DOUBLE ELSE 0::DOUBLE END) * 0.4::DOUBLE
          + 0.45::DOUBLE * 0.2::DOUBLE + 1::DOUBLE * 0.2::DOUBLE) + (CASE WHEN lang = 'en' THEN 1::DOUBLE ELSE 0::DOUBLE END) * 0.2::DOUBLE, 4) AS raw FROM n),
-q AS (SELECT doc_id, source, text, words, errors, CASE WHEN len(errors) > 0 THEN least(raw, 0.3::DOUBLE) ELSE raw END AS quality_score,
+q AS (SELECT doc_id, source, lang, text, words, errors, CASE WHEN len(errors) > 0 THEN least(raw, 0.3::DOUBLE) ELSE raw END AS quality_score,
        CASE WHEN len(errors) > 1 THEN 'hard_reject' WHEN len(errors) = 1 THEN 'reject' WHEN raw >= 0.7 THEN 'accept' WHEN raw >= 0.45 THEN 'accept_with_warning' WHEN raw >= 0.2 THEN 'reject' ELSE 'hard_reject' END AS quality_decision,
        CASE WHEN len(errors) > 0 THEN array_to_string(errors, '; ') END AS rejection_reason FROM e)
 """
@@ -262,33 +270,53 @@ def shingle_sets(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", s.alias("s")).select("doc_id", F.size("s").cast("bigint").alias("n_shingles"), F.sha2(F.array_join("s", ""), 256).alias("digest"))
 
 
-_PAIRS = """d AS (SELECT text, min(doc_id) AS id FROM documents GROUP BY text),
+def _pairs(source: str) -> str:
+    """CTEs: d, the distinct texts of source (id, text) by their first id; pairs, those of them that share shingles."""
+    return f"""d AS (SELECT text, min(id) AS id FROM {source} GROUP BY text),
 sets AS (SELECT id, list_distinct(list_transform(range(1, greatest(length(text) - 2, 1) + 1), lambda i: substring(text, i, 3))) AS s FROM d),
 each AS (SELECT id, len(s) AS n, unnest(s) AS g FROM sets),
 pairs AS (SELECT a.id AS a, b.id AS b, count(*)::DOUBLE / (any_value(a.n) + any_value(b.n) - count(*)) AS similarity FROM each a JOIN each b ON a.g = b.g AND a.id < b.id AND a.n >= 0.8 * b.n AND b.n >= 0.8 * a.n GROUP BY a.id, b.id)"""
 
 
-@query(f"WITH {_PAIRS} SELECT a, b, similarity FROM pairs WHERE similarity >= 0.8")
+def _greedy(source: str) -> str:
+    """CTEs after _pairs: dups, the (seq, canonical) that visiting source in the order of id finds."""
+    return f"""{_pairs(source)},
+near AS (SELECT a, b FROM pairs WHERE similarity >= 0.8 UNION SELECT d.id, x.id FROM d JOIN {source} x ON x.text = d.text AND x.id > d.id),
+firsts AS (SELECT b AS id, list(DISTINCT a) AS before FROM near GROUP BY b),
+copies AS (SELECT x.id AS id, d.id AS first FROM d JOIN {source} x ON x.text = d.text AND x.id > d.id),
+ranked AS (SELECT id, before, row_number() OVER (ORDER BY id) AS k FROM firsts WHERE id NOT IN (SELECT id FROM copies)),
+walk(k, gone) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL SELECT ranked.k, CASE WHEN len(list_filter(before, lambda x: NOT list_contains(gone, x))) > 0 THEN list_append(gone, ranked.id) ELSE gone END FROM walk JOIN ranked ON ranked.k = walk.k + 1),
+last AS (SELECT gone FROM walk ORDER BY k DESC LIMIT 1),
+own AS (SELECT ranked.id AS seq, list_min(list_filter(before, lambda x: NOT list_contains(gone, x))) AS canonical FROM ranked, last WHERE list_contains(gone, ranked.id)),
+dups AS (SELECT seq, canonical FROM own UNION ALL SELECT copies.id, coalesce(own.canonical, first) FROM copies LEFT JOIN own ON own.seq = first)"""
+
+
+_ALL = "every AS (SELECT doc_id AS id, text FROM documents)"
+
+
+@query(f"WITH {_ALL}, {_pairs('every')} SELECT a, b, similarity FROM pairs WHERE similarity >= 0.8")
 def jaccard_pairs(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").groupBy("text").agg(F.min("doc_id").alias("seq"))
     return dedup.similar_pairs(docs)
 
 
-@query(
-    f"""WITH RECURSIVE {_PAIRS},
-near AS (SELECT a, b FROM pairs WHERE similarity >= 0.8 UNION SELECT d.id, x.doc_id FROM d JOIN documents x ON x.text = d.text AND x.doc_id > d.id),
-firsts AS (SELECT b AS id, list(DISTINCT a) AS before FROM near GROUP BY b),
-copies AS (SELECT x.doc_id AS id, d.id AS first FROM d JOIN documents x ON x.text = d.text AND x.doc_id > d.id),
-ranked AS (SELECT id, before, row_number() OVER (ORDER BY id) AS k FROM firsts WHERE id NOT IN (SELECT id FROM copies)),
-walk(k, gone) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL SELECT ranked.k, CASE WHEN len(list_filter(before, lambda x: NOT list_contains(gone, x))) > 0 THEN list_append(gone, ranked.id) ELSE gone END FROM walk JOIN ranked ON ranked.k = walk.k + 1),
-last AS (SELECT gone FROM walk ORDER BY k DESC LIMIT 1),
-own AS (SELECT ranked.id AS seq, list_min(list_filter(before, lambda x: NOT list_contains(gone, x))) AS canonical FROM ranked, last WHERE list_contains(gone, ranked.id))
-SELECT seq, canonical FROM own UNION ALL SELECT copies.id, coalesce(own.canonical, first) FROM copies LEFT JOIN own ON own.seq = first"""
-)
+@query(f"WITH RECURSIVE {_ALL}, {_greedy('every')} SELECT seq, canonical FROM dups")
 def near_dup_greedy(spark, sf_dir):
     return dedup.duplicates(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), "text"))
 
 
+@query(f"WITH RECURSIVE {_ALL}, {_greedy('every')}, n AS (SELECT count(*) AS checked FROM every) SELECT checked, (SELECT count(*) FROM dups) AS duplicates, checked - (SELECT count(*) FROM dups) AS \"unique\", 0.8::DOUBLE AS threshold, 'exact_jaccard' AS backend FROM n")
+def index_stats(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), "text")
+    return dedup.index_stats(docs, dedup.duplicates(docs))
+
+
+@query()
+def banded_duplicates(spark, sf_dir):
+    """Sharing a band is enough; its hash functions are no SQL, and the tests compare it with a sequential search."""
+    return dedup.banded_duplicates(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), F.col("doc_id").cast("string").alias("doc_id"), "text"))
+
+
 _HASHES = "SELECT doc_id, list_transform(s, lambda g: ('0x' || substring(md5(g), 1, 7))::BIGINT) AS h FROM (" + _SETS + ")"
 
 
@@ -305,17 +333,36 @@ def routes(spark, sf_dir) -> DataFrame:
     return ingest.routed(docs)
 
 
-@query()
+_ROUTED = f"""{_CHECKED.replace("WITH c", "WITH RECURSIVE c", 1).rstrip()},
+passed AS MATERIALIZED (SELECT doc_id AS id, text FROM q WHERE quality_decision IN ('accept', 'accept_with_warning')),
+{_greedy('passed')},
+routed AS (SELECT q.doc_id AS seq, q.doc_id::VARCHAR AS doc_id, source, CASE WHEN lang = 'en' THEN 'en' ELSE 'unknown' END AS language, words, quality_decision, canonical IS NOT NULL AS has_duplicate,
+  canonical::VARCHAR AS is_duplicate_of, CASE WHEN canonical IS NOT NULL THEN 'duplicate' ELSE rejection_reason END AS rejection_reason,
+  CASE WHEN canonical IS NULL AND quality_decision IN ('accept', 'accept_with_warning') THEN 'accepted' ELSE 'rejected' END AS route FROM q LEFT JOIN dups ON dups.seq = q.doc_id)
+"""
+
+
+@query(f"{_ROUTED} SELECT doc_id, quality_decision, has_duplicate, is_duplicate_of, rejection_reason, route FROM routed")
 def pipeline_routes(spark, sf_dir):
     return routes(spark, sf_dir).select("doc_id", "quality_decision", "has_duplicate", "is_duplicate_of", "rejection_reason", "route")
 
 
-@query()
+@query(
+    f"""{_ROUTED} SELECT count(*) AS attempted_documents, count_if(route = 'accepted')::BIGINT AS accepted_documents, count_if(route <> 'accepted')::BIGINT AS rejected_documents, count_if(has_duplicate)::BIGINT AS duplicate_documents,
+coalesce(sum(words) FILTER (route = 'accepted'), 0)::BIGINT AS total_words, CASE WHEN count_if(route = 'accepted') > 0 THEN round(sum(words) FILTER (route = 'accepted') / count_if(route = 'accepted')::DOUBLE, 2) ELSE 0 END AS average_document_length FROM routed"""
+)
 def run_stats(spark, sf_dir):
     return stats.run_stats(routes(spark, sf_dir))
 
 
-@query()
+@query(
+    f"""{_ROUTED},
+each_value AS (SELECT 'category' AS kind, unnest([source, language]) AS value, unnest([0, 1]) AS place, seq FROM routed WHERE route = 'accepted'
+  UNION ALL SELECT 'seed_category', CASE WHEN source <> 'src0' THEN source ELSE 'unknown' END, 0, seq FROM routed WHERE route = 'accepted'
+  UNION ALL SELECT 'rejection_reason', coalesce(nullif(rejection_reason, ''), 'unknown'), 0, seq FROM routed WHERE route = 'rejected'),
+counted AS (SELECT kind, value, count(*) AS n, min(row(seq, place)) AS first FROM each_value GROUP BY kind, value)
+SELECT kind, value, n FROM counted QUALIFY row_number() OVER (PARTITION BY kind ORDER BY n DESC, first) <= 50"""
+)
 def route_distributions(spark, sf_dir):
     """Categories, seeds and reasons of routed documents, with counts."""
     found = dedup.shared(routes(spark, sf_dir), "routed")
@@ -334,28 +381,118 @@ def category_top50(spark, sf_dir):
     return stats.distribution(each, F.col("word"), "word", position=F.col("pos"))
 
 
-@query("SELECT doc_id::VARCHAR AS doc_id, source AS source_id, 'doc-' || doc_id AS title, lang <> 'xx' AS kept, '2026-01-01T00:00:00.000000Z' AS date_collected FROM documents")
+_MODEL = f"""SELECT doc_id::VARCHAR AS doc_id, source AS source_id, 'doc-' || doc_id AS title, text, {text.sql_word_count('text')} AS word_count, length(text)::BIGINT AS char_count,
+CASE WHEN lang = 'en' THEN 'en' ELSE 'unknown' END AS language, source AS source_name, 'other' AS source_type, 'https://' || source || '.example.org/' || doc_id AS source_url, 'tier_3' AS credibility FROM documents"""
+_NO_VALUE = ("summary", "dialect_region", "source_domain", "seed_category", "geographic_scope", "quality_decision", "is_duplicate_of", "rejection_reason", "topic_label", "wikipedia_page_id", "wikipedia_revid", "decade", "category_confidence", "quality_score", "topic_id", "date_published", "date_processed")
+
+
+@query(
+    f"SELECT m.*, '2026-01-01T00:00:00.000000Z' AS date_collected, 'false' AS is_bilingual, 'false' AS has_duplicate, 'uncategorized' AS category, '' AS wikipedia_categories, '' AS tags, {', '.join(f'NULL::VARCHAR AS {c}' for c in _NO_VALUE)} FROM ({_MODEL}) m"
+)
 def export_view(spark, sf_dir):
+    """All 34 fields; lists joined, fields without a value and flags as strings."""
     docs = schema.export_view(schema.as_documents(model(spark, sf_dir, clean=False)))
-    return docs.select("doc_id", "source_id", "title", F.lit(True).alias("kept"), "date_collected")
+    shown = {c: F.array_join(c, ",") for c in ("wikipedia_categories", "tags")} | {c: F.col(c).cast("string") for c in (*_NO_VALUE, "is_bilingual", "has_duplicate")}
+    return docs.select(*(shown.get(c, F.col(c)).alias(c) for c in docs.columns))
 
 
-@query(f"SELECT count(*) AS num_rows, sum(words)::BIGINT AS total_words, round(sum(words) / count(*), 2) AS average_words FROM (SELECT {text.sql_word_count('text')} AS words FROM documents)")
+@query(f"SELECT count(*) AS num_rows, 1::BIGINT AS n_columns, sum(words)::BIGINT AS total_words, round(sum(words) / count(*), 2) AS average_words FROM (SELECT {text.sql_word_count('text')} AS words FROM documents)")
 def export_summary(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(text.word_count(F.col("text")).alias("word_count"))
-    n, total = F.count("*"), F.sum("word_count")
-    return docs.agg(n.alias("num_rows"), total.alias("total_words"), F.round(total / n, 2).alias("average_words"))
+    found = stats.export_summary(table(spark, sf_dir, "documents").select(text.word_count(F.col("text")).alias("word_count")))
+    return spark.createDataFrame([(found["num_rows"], len(found["columns"]), found["total_words"], found["average_words"])], "num_rows long, n_columns long, total_words long, average_words double")
 
 
-@query("SELECT CASE WHEN lang NOT IN ('ar-MSA', 'ar-PAL', 'ar-OTHER', 'en', 'multi', 'unknown') THEN 'language' END AS violation, count(*) AS n FROM documents GROUP BY 1")
+_INVALID = [
+    ("doc_id", "doc_id % 11 = 0"), ("language", f"lang NOT IN {tuple(schema.LANGUAGES)}"), ("source_type", "doc_id % 5 = 1"), ("credibility", "doc_id % 6 IN (0, 5)"), ("quality_score", "doc_id % 7 = 6"), ("quality_decision", "doc_id % 4 = 3"),
+]
+
+
+@query(
+    "SELECT v AS violation, count(*) AS n FROM (SELECT array_to_string(list_filter([" + ", ".join(f"CASE WHEN {sql} THEN '{name}' END" for name, sql in _INVALID) + "], lambda x: x IS NOT NULL), ',') AS v FROM documents) GROUP BY 1"
+)
 def validation(spark, sf_dir):
-    docs = model(spark, sf_dir, clean=False).drop("language").withColumn("language", F.lit(None).cast("string"))
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), F.col("source").alias("source_id"), F.col("lang").alias("language"))
+    """How many documents break which fields, with wrong values in five enumerations, a range and a required field."""
+    n, case = F.col("doc_id"), lambda wrong, bad, good: F.when(wrong, bad).otherwise(good)
+    docs = table(spark, sf_dir, "documents").select(
+        F.when(n % 11 != 0, n.cast("string")).alias("doc_id"), F.col("lang").alias("language"), case(n % 5 == 1, "blog", "news").alias("source_type"), F.concat(F.lit("tier_"), (n % 6).cast("string")).alias("credibility"),
+        ((n % 7) / 5).alias("quality_score"), case(n % 4 == 3, "maybe", "accept").alias("quality_decision"), F.lit("history").alias("category"),
+    )
     valid, invalid = schema.validated(docs)
-    rows = valid.select(F.lit(None).cast("string").alias("violation")).union(invalid.select(F.array_join("violations", ",")))
+    rows = valid.select(F.lit("").alias("violation")).union(invalid.select(F.array_join("violations", ",")))
     return rows.groupBy("violation").agg(F.count("*").alias("n"))
 
 
+# --- scans and sinks: written, read back, compared with what the table holds ---
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{dedup.scratch(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _read_back(df: DataFrame) -> DataFrame:
+    return df.select("doc_id", "source_id", "language", "title", F.sha2("text", 256).alias("digest"), "word_count", "char_count", F.size("tags").cast("bigint").alias("n_tags"))
+
+
+_BACK = f"SELECT doc_id, source_id, language, title, sha256(text) AS digest, word_count, char_count, 0::BIGINT AS n_tags FROM ({_MODEL})"
+
+
+@query(_BACK)
+def jsonl_scan(spark, sf_dir):
+    """Documents written as JSON lines and read with their schema."""
+    path = _folder(spark, "jsonl")
+    files.write_jsonl(schema.as_documents(model(spark, sf_dir, clean=False)), path)
+    return _read_back(files.read_jsonl(spark, path))
+
+
+@query(_BACK)
+def json_array_scan(spark, sf_dir):
+    """JSON arrays of at most 500 documents, one in each line's file."""
+    path = _folder(spark, "arrays")
+    docs = schema.as_documents(model(spark, sf_dir, clean=False), ("ingest_seq",))
+    one = F.to_json(F.struct(*schema.DOCUMENT.names), {"ignoreNullFields": "false"})
+    docs.select(F.floor(F.col("ingest_seq") / 500).alias("part"), one.alias("value")).groupBy("part").agg(F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]")).alias("value")).select("value", "part").write.partitionBy("part").text(path)
+    return _read_back(files.read_json_array(spark, path).drop("part"))
+
+
+@query(_BACK)
+def partitioned_scan(spark, sf_dir):
+    """Parquet by source and language."""
+    path = _folder(spark, "partitioned")
+    files.write_partitioned(schema.as_documents(model(spark, sf_dir, clean=False)), path)
+    return _read_back(files.read_parquet(spark, path))
+
+
+@query(_BACK)
+def import_scan(spark, sf_dir):
+    """A Parquet dataset imported as JSON lines."""
+    path = _folder(spark, "import")
+    schema.as_documents(model(spark, sf_dir, clean=False)).write.parquet(f"{path}/parquet")
+    files.import_dataset(spark, f"{path}/parquet", f"{path}/lines")
+    return _read_back(files.read_jsonl(spark, f"{path}/lines"))
+
+
+@query(f"SELECT 'train' AS part, count(*) AS num_rows, sum(word_count)::BIGINT AS total_words, round(sum(word_count) / count(*), 2) AS average_words FROM ({_MODEL})")
+def export_sink(spark, sf_dir):
+    """JSON lines exported as a Parquet dataset; the summary that was written beside it, read back."""
+    path = _folder(spark, "export")
+    files.write_jsonl(schema.as_documents(model(spark, sf_dir, clean=False)), f"{path}/lines")
+    found = files.export_dataset(spark, f"{path}/lines", f"{path}/out")
+    kept = spark.read.option("multiLine", True).schema("num_rows long, total_words long, average_words double").json(found["summary_json"])
+    rows = files.read_parquet(spark, found["train_parquet"]).agg(F.count("*").alias("there"))
+    return kept.join(rows, F.col("there") == F.col("num_rows")).select(F.lit("train").alias("part"), "num_rows", "total_words", "average_words")
+
+
+@query(f"{_CHECKED} SELECT CASE WHEN quality_decision IN ('reject', 'hard_reject') THEN 'rejected' ELSE 'accepted' END AS route, quality_decision, count(*) AS n, sum(words)::BIGINT AS words FROM q GROUP BY 1, 2")
+def routes_sink(spark, sf_dir):
+    """Checked documents written to the two folders of JSON lines, counted from there."""
+    path = _folder(spark, "routes")
+    gate = F.col("quality_decision").isin("reject", "hard_reject")
+    docs = dedup.shared(quality.checked(model(spark, sf_dir)), "checked").withColumn("route", F.when(gate, "rejected").otherwise("accepted"))
+    files.write_routes(schema.as_documents(docs, ("route",)), f"{path}/accepted", f"{path}/rejected")
+    parts = [files.read_jsonl(spark, f"{path}/{r}").select(F.lit(r).alias("route"), "quality_decision", "word_count") for r in ("accepted", "rejected")]
+    return parts[0].union(parts[1]).groupBy("route", "quality_decision").agg(F.count("*").alias("n"), F.sum("word_count").alias("words"))
+
+
 @query("SELECT count_if(event_type <> '')::BIGINT AS docs_attempted, count_if(event_type = 'purchase')::BIGINT AS docs_collected, (count_if(event_type <> '') - count_if(event_type = 'purchase'))::BIGINT AS docs_rejected, count_if(value > 100)::BIGINT AS n_errors FROM events")
 def run_log(spark, sf_dir):
     """The summary of a run's log, events standing in for documents: all are attempts, purchases successes."""
@@ -449,21 +586,77 @@ def walk_reachable(spark, sf_dir):
     return graph.reachable(edges, literal(spark, [("تصنيف:فلسطين",)], "title string"), 3)
 
 
+# Categories made of regions and nations, pages of customers: every third nation is relevant, others are terminal or upkeep.
+_AR = fields.CATEGORY_PREFIXES["ar"]
+_NATION = f"concat('{_AR}', CASE WHEN n_nationkey % 7 = 6 THEN 'بذرة ' WHEN n_nationkey % 3 = 0 THEN 'قرية ' ELSE '' END, n_name, CASE WHEN n_nationkey % 5 = 4 THEN ' من أصل فلسطيني' ELSE '' END)"
+_UPKEEP = "n_nationkey % 7 = 6"
+
+
+def atlas(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(pages, members): regions hold nations, nations hold customers and, first, the region they are in; a seventh of the customers are missing."""
+    regions, nations, customers = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("region", "nation", "customer"))
+    region = F.concat(F.lit(_AR), "r_name")
+    held = nations.join(F.broadcast(regions), F.col("n_regionkey") == F.col("r_regionkey")).withColumns({"region": region, "nation": F.expr(_NATION)})
+    place = customers.join(F.broadcast(held), F.col("c_nationkey") == F.col("n_nationkey"))
+    page = lambda df, title, ns, there: df.select(title.alias("title"), F.lit(ns).alias("ns"), there.alias("exists"))
+    pages = page(regions, region, 14, F.lit(True)).union(page(held, F.col("nation"), 14, F.lit(True))).union(page(customers, F.col("c_name"), 0, F.col("c_custkey") % 7 != 3))
+    members = held.select(F.col("region").alias("parent"), F.col("nation").alias("member"), F.col("n_nationkey").cast("long").alias("pos"))
+    members = members.union(held.select("nation", "region", F.lit(-1).cast("long"))).union(place.select("nation", "c_name", F.col("c_custkey").cast("long")))
+    return pages, members
+
+
+_HELD = f"held AS (SELECT *, concat('{_AR}', r_name) AS region, {_NATION} AS nation FROM nation JOIN region ON n_regionkey = r_regionkey)"
+
+
 @query(
-    "SELECT * FROM (VALUES (0::BIGINT, 'فلسطين', 'فلسطين'), (1, 'نابلس', 'نابلس'), (2, 'فلسطين', 'دبكة'), (3, 'فلسطين', 'شخص')) AS v(ingest_seq, seed, title)"
+    f"""WITH {_HELD},
+given AS (SELECT r_regionkey, n_nationkey, c_name, c_custkey, row_number() OVER (PARTITION BY n_nationkey ORDER BY c_custkey) AS k FROM customer JOIN held ON c_nationkey = n_nationkey WHERE c_custkey % 7 <> 3 AND NOT {_UPKEEP}),
+turns AS (SELECT *, row_number() OVER (PARTITION BY r_regionkey ORDER BY n_nationkey, c_custkey) AS turn FROM given WHERE k <= 5)
+SELECT row_number() OVER (ORDER BY turn, r_regionkey) - 1 AS ingest_seq, r_name AS seed, c_name AS title FROM turns JOIN region USING (r_regionkey) QUALIFY row_number() OVER (ORDER BY turn, r_regionkey) <= 60"""
 )
 def walk_pages(spark, sf_dir):
-    pages, members = wiki(spark)
-    return graph.walk_pages(pages, members, ["فلسطين", "نابلس"], depth=1)
+    """Pages of five regions by turns, five of each nation, sixty in all."""
+    pages, members = atlas(spark, sf_dir)
+    seeds = [r.r_name for r in spark.read.parquet(f"{sf_dir}/region.parquet").orderBy("r_regionkey").collect()]
+    return graph.walk_pages(pages, members, seeds, depth=1, per_category=5, max_docs=60)
 
 
 @query(
-    """SELECT * FROM (VALUES ('تصنيف:فلسطين', 0, 2::BIGINT, 2::BIGINT, 1::DOUBLE, NULL, 0::BIGINT), ('تصنيف:تراث فلسطيني', 1, 3, 1, 3, 'تصنيف:فلسطين', 1), ('تصنيف:أردنيون من أصل فلسطيني', 2, 1, 1, 2, 'تصنيف:فلسطين', 2))
-AS v(title, depth, pages, subcategories, relevance_score, parent, bfs_seq)"""
+    f"""WITH {_HELD},
+roots AS (SELECT concat('{_AR}', r_name) AS title, 0 AS depth, NULL::VARCHAR AS parent, r_regionkey AS a, -1 AS b FROM region WHERE r_regionkey < 4),
+open AS (SELECT *, row_number() OVER (PARTITION BY r_regionkey ORDER BY n_nationkey) AS k FROM held WHERE r_regionkey < 4 AND NOT {_UPKEEP} AND n_nationkey % 5 <> 4),
+ends AS (SELECT r_regionkey AS r, n_nationkey AS e FROM open WHERE k = 2),
+inner_nodes AS (SELECT nation, 1 AS depth, region, r_regionkey, n_nationkey FROM open WHERE k <= 2
+  UNION ALL SELECT nation, 1, region, r_regionkey, n_nationkey FROM held LEFT JOIN ends ON r = r_regionkey WHERE r_regionkey < 4 AND NOT {_UPKEEP} AND n_nationkey % 5 = 4 AND (e IS NULL OR n_nationkey < e)),
+nodes AS (SELECT *, row_number() OVER (ORDER BY depth, a, b) - 1 AS bfs_seq FROM (SELECT * FROM roots UNION ALL SELECT * FROM inner_nodes)),
+inside AS (SELECT region AS title, 0 AS pages, count_if(NOT {_UPKEEP}) AS subcategories FROM held GROUP BY region
+  UNION ALL SELECT nation, count(c_custkey), 1 FROM held LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY nation),
+scored AS (SELECT *, {_RELEVANCE.replace("t,", "title,")} AS relevance_score FROM nodes JOIN inside USING (title))
+SELECT title, depth::INT AS depth, pages::BIGINT AS pages, subcategories::BIGINT AS subcategories, relevance_score, round(relevance_score * 3 + ln(1 + pages) + ln(1 + subcategories) * 0.5::DOUBLE, 3) AS total_score, parent, bfs_seq
+FROM scored WHERE bfs_seq < 10"""
 )
 def discover_bfs(spark, sf_dir):
-    pages, members = wiki(spark)
-    return graph.discover(pages, members, ["فلسطين"]).drop("total_score")
+    """Ten categories from four regions, two open ones of each."""
+    pages, members = atlas(spark, sf_dir)
+    roots = [r.r_name for r in spark.read.parquet(f"{sf_dir}/region.parquet").where("r_regionkey < 4").orderBy("r_regionkey").collect()]
+    return graph.discover(pages, members, roots, max_depth=1, max_children=2, max_nodes=10)
+
+
+@query(
+    f"""WITH {_HELD},
+asked AS (SELECT n_nationkey AS pos, n_name AS category, nation, concat('{_AR}', n_name) AS requested_title FROM held),
+known AS (SELECT *, requested_title = nation AS "exists" FROM asked),
+inside AS (SELECT c_nationkey, count(*) AS pages FROM customer GROUP BY 1)
+SELECT pos, category, requested_title, "exists", CASE WHEN "exists" THEN nation END AS resolved_title, FALSE AS is_redirect, CASE WHEN "exists" THEN coalesce(pages, 0) ELSE 0 END::BIGINT AS pages, CASE WHEN "exists" THEN 1 ELSE 0 END::BIGINT AS subcategories, 0::BIGINT AS maintenance_pages_skipped,
+CASE WHEN NOT "exists" THEN nation END AS suggested_replacement,
+CASE WHEN NOT "exists" THEN 'Category page does not exist on ar.wikipedia.org' WHEN coalesce(pages, 0) < 5 THEN concat('Very few direct pages (', coalesce(pages, 0), ') — likely too narrow as a standalone seed') ELSE '' END AS notes
+FROM known LEFT JOIN inside ON c_nationkey = pos"""
+)
+def seed_audit(spark, sf_dir):
+    """Every nation as a seed; those whose category has another name are missing, and its name replaces theirs."""
+    pages, members = atlas(spark, sf_dir)
+    seeds = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_nationkey").alias("pos"), F.col("n_name").alias("seed"))
+    return graph.audit_seeds(seeds, pages, members, pages.select("title"))
 
 
 SEED_ROWS = [(0, "فلسطين"), (1, "لا شيء"), (2, "فارغ"), (3, "تراث فلسطيني"), (4, "تراث_قديم")]
@@ -475,12 +668,19 @@ SEED_ROWS = [(0, "فلسطين"), (1, "لا شيء"), (2, "فارغ"), (3, "تر
 (3, 'تراث فلسطيني', TRUE, 3, 1, 0, NULL, 'Very few direct pages (3) — likely too narrow as a standalone seed'), (4, 'تراث_قديم', FALSE, 0, 0, 0, 'تصنيف:تراث فلسطيني', 'Category page does not exist on ar.wikipedia.org'))
 AS v(pos, category, "exists", pages, subcategories, maintenance_pages_skipped, suggested_replacement, notes)"""
 )
-def seed_audit(spark, sf_dir):
+def seed_audit_cases(spark, sf_dir):
     pages, members = wiki(spark)
     audit = graph.audit_seeds(literal(spark, SEED_ROWS, "pos int, seed string"), pages, members, pages.select("title"))
     return audit.select("pos", "category", "exists", "pages", "subcategories", "maintenance_pages_skipped", "suggested_replacement", "notes")
 
 
+@query(f"WITH {_HELD}, known AS (SELECT n_nationkey, concat('{_AR}', n_name) = nation AS there FROM held) SELECT count_if(NOT there)::BIGINT AS bad, count(*) AS total FROM known")
+def missing_seeds(spark, sf_dir):
+    pages, members = atlas(spark, sf_dir)
+    seeds = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_nationkey").alias("pos"), F.col("n_name").alias("seed"))
+    return graph.missing_or_empty(graph.audit_seeds(seeds, pages, members))
+
+
 # --- entities ---
 
 WORDS = ["المسخن", "والمقلوبة", "بالكنافة", "وشماغ", "الدبكة", "السامر", "الزغاريد", "نابلس", "والخليل", "كوفية", "و", "وب", "أرجيلة"]
@@ -521,9 +721,15 @@ def dictionary_entities(spark, sf_dir):
     return df.select("doc_id", F.size("entities").cast("bigint").alias("n_entities"), F.array_join(F.transform("entities", lambda e: F.concat_ws("/", e["text"], e["label"])), "|").alias("found"))
 
 
-@query("SELECT doc_id, 0::BIGINT AS n_entities FROM documents")
+_SPOKEN = f"(SELECT doc_id, w FROM documents JOIN {_WORDS} ON id = doc_id % {len(WORDS)})"
+
+
+@query(f"WITH dict AS {values(list(entities.DICTIONARY.items()), 'f', 'label')}, n AS (SELECT doc_id, {_FORM} AS form FROM {_SPOKEN}) SELECT doc_id, count(label)::BIGINT AS n_entities, coalesce(any_value(label), '') AS label FROM n LEFT JOIN dict ON f = form GROUP BY doc_id")
 def entity_counts(spark, sf_dir):
-    return entities.entity_counts(entities.with_entities(table(spark, sf_dir, "documents"))).select("doc_id", "n_entities")
+    """Each document with a sentence more, which says one of the words."""
+    said = F.concat(F.coalesce("text", F.lit("")), F.lit(".\nكان هناك "), F.element_at(F.array(*map(F.lit, WORDS)), (F.col("doc_id") % len(WORDS) + 1).cast("int")), F.lit(" هنا"))
+    found = entities.entity_counts(entities.with_entities(table(spark, sf_dir, "documents").withColumn("text", said)))
+    return found.select("doc_id", "n_entities", F.coalesce(F.get("first_entities", F.lit(0))["label"], F.lit("")).alias("label"))
 
 
 TAGGED = [

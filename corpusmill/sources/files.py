@@ -111,11 +111,6 @@ def import_dataset(spark: SparkSession, parquet: str, out: str) -> DataFrame:
     return docs
 
 
-def write_corpus(docs: DataFrame, path: str) -> None:
-    """Documents with their entities as JSON lines."""
-    write_jsonl(docs, path)
-
-
 def write_reports(reports: dict[str, DataFrame], path: str) -> None:
     """Each report in its own folder under path."""
     for name, df in reports.items():

@@ -1,5 +1,5 @@
-import re
 import unicodedata
+from itertools import groupby
 
 import pytest
 from hypothesis import given, settings
@@ -46,14 +46,47 @@ def test_arabic_ratio(spark):
     assert [r[0] for r in df.select(text.arabic_ratio(F.col("t"))).collect()] == [0.6, 0.0, 0.0]
 
 
+def without(t: str, opening: str, closing: str, empty: bool, instead) -> str:
+    """t with each stretch from opening to the first closing after it replaced by instead(inside), where inside is no bare closing."""
+    out, at = "", 0
+    while (begin := t.find(opening, at)) >= 0:
+        end = t.find(closing[0], begin + len(opening))
+        inside = t[begin + len(opening) : end] if end >= 0 else ""
+        if end >= 0 and (inside or empty) and t.startswith(closing, end):
+            new = instead(inside)
+            if new is not None:
+                out, at = out + t[at:begin] + new, end + len(closing)
+                continue
+        out, at = out + t[at : begin + 1], begin + 1
+    return out + t[at:]
+
+
+def linked(t: str) -> str:
+    """Links as their label: what follows the first bar, if something stands before it and after it."""
+
+    def label(inside):
+        name, bar, rest = inside.partition("|")
+        return rest if bar and name and rest else inside
+
+    return without(t, "[[", "]]", False, label)
+
+
 def plain_clean(t: str) -> str:
-    """White space, tags, markup and letters as Python does them, for texts without boilerplate and sections."""
-    t = re.sub(r"<[^>]+>", " ", unicodedata.normalize("NFC", t))
-    t = re.sub(r"\[\[(?:[^\|\]]+\|)?([^\]]+)\]\]", r"\1", re.sub(r"\{\{[^}]+\}\}", " ", t))
-    t = re.sub(r"\[\d+\]", "", re.sub(r"^[#\*:;]+", "", re.sub(r"'{2,3}", "", t), flags=re.M))
-    t = re.sub("[أإآٱ]", "ا", t).replace("ى", "ي")
-    t = re.sub("ـ+", "", re.sub("[ؗ-ًؚ-ٟ]", "", t)).translate(str.maketrans("٠١٢٣٤٥٦٧٨٩", "0123456789"))
-    return re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]+", " ", t)).strip()
+    """White space, tags, markup and letters by plain scans, for texts without boilerplate and sections."""
+    t = without(unicodedata.normalize("NFC", t), "<", ">", False, lambda _: " ")
+    t = linked(without(t, "{{", "}}", False, lambda _: " "))
+    quotes = "".join("" if run[0] == "'" and len(run) > 1 and len(run) % 3 != 1 else "'" if run[0] == "'" and len(run) > 1 else run for run in split_runs(t))
+    lines = [line.lstrip("#*:;") for line in quotes.split("\n")]
+    t = without("\n".join(lines), "[", "]", False, lambda x: "" if all(c.isdecimal() for c in x) else None)
+    letters = dict.fromkeys("أإآٱ", "ا") | {"ى": "ي"} | dict(zip("٠١٢٣٤٥٦٧٨٩", "0123456789", strict=True))
+    t = "".join(letters.get(c, c) for c in t if not (0x617 <= ord(c) <= 0x61A or 0x64B <= ord(c) <= 0x65F or c == "ـ"))
+    spaced = "".join(" " if run[0] in " \t" else run for run in split_runs(t.replace("\t", " ")))
+    return "".join(run[:2] if run[0] == "\n" else run for run in split_runs(spaced)).strip()
+
+
+def split_runs(t: str) -> list[str]:
+    """t cut where the character changes."""
+    return ["".join(g) for _, g in groupby(t)]
 
 
 @settings(max_examples=12, deadline=None)
