@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .kit import free_names
+
 WINDOW = 10
 #: Text of the benchmark whose tables go to the workers at once; a larger benchmark takes another pass for each block.
 BLOCK_BYTES = 1 << 20
@@ -88,11 +90,12 @@ def blocks_of(bench: DataFrame, most: int = BLOCK_BYTES) -> Iterator[list[tuple[
     yield block
 
 
-def scanned(docs: DataFrame, bench: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """docs with _words, _hit (packed bits, one for each word, null for none) and _items (ids of items with occurrences)."""
-    out = docs.withColumns({"_words": F.lit(0).cast("long"), "_hit": F.lit(None).cast("binary"), "_items": F.array().cast("array<string>")})
+def scanned(docs: DataFrame, bench: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, tuple[str, str, str]]:
+    """(docs with three columns more, their names, which docs does not have): number of words, hit words (packed bits, null for none), ids of items with occurrences."""
+    names = free_names(docs.columns, "words", "hit", "items")
+    out = docs.withColumns({names[0]: F.lit(0).cast("long"), names[1]: F.lit(None).cast("binary"), names[2]: F.array().cast("array<string>")})
     columns = out.columns
-    at = {c: columns.index(c) for c in ("text", "_words", "_hit", "_items")}
+    text_at, words_at, hit_at, items_at = (columns.index(c) for c in ("text", *names))
     for block in blocks_of(bench, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
@@ -100,7 +103,7 @@ def scanned(docs: DataFrame, bench: DataFrame, block_bytes: int = BLOCK_BYTES) -
             tables = _tables(shared)
             for batch in batches:
                 counts, hits, found = [], [], []
-                for text, before, known in zip(batch.column(at["text"]), batch.column(at["_hit"]), batch.column(at["_items"]), strict=True):
+                for text, before, known in zip(batch.column(text_at), batch.column(hit_at), batch.column(items_at), strict=True):
                     words, marks, items = words_of(text.as_py()), None, set(known.as_py())
                     for table in tables:
                         for first, names in table.find(words):
@@ -115,11 +118,11 @@ def scanned(docs: DataFrame, bench: DataFrame, block_bytes: int = BLOCK_BYTES) -
                     hits.append(np.packbits(marks).tobytes() if marks is not None else old)
                     found.append(sorted(items))
                 arrays = list(batch.columns)
-                arrays[at["_words"]], arrays[at["_hit"]], arrays[at["_items"]] = pa.array(counts, pa.int64()), pa.array(hits, pa.binary()), pa.array(found, pa.list_(pa.string()))
+                arrays[words_at], arrays[hit_at], arrays[items_at] = pa.array(counts, pa.int64()), pa.array(hits, pa.binary()), pa.array(found, pa.list_(pa.string()))
                 yield pa.RecordBatch.from_arrays(arrays, columns)
 
         out = out.mapInArrow(scan, out.schema)
-    return out
+    return out, tuple(names)
 
 
 def contamination(docs: DataFrame, bench: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -128,7 +131,7 @@ def contamination(docs: DataFrame, bench: DataFrame, block_bytes: int = BLOCK_BY
     bench: item_id, text. Null or empty texts have no words; rows of one item_id are one item, a null item_id
     counts as ''. Without items nothing is contaminated. Other columns are ignored.
     """
-    found = scanned(docs.select("doc_id", "text"), bench, block_bytes).drop("text")
+    found = scanned(docs.select("doc_id", "text"), bench, block_bytes)[0].drop("text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,7 +146,8 @@ def contamination(docs: DataFrame, bench: DataFrame, block_bytes: int = BLOCK_BY
 
 def decontaminate(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """The rows of docs in which no window of the benchmark occurs, all their columns as they are."""
-    return scanned(docs, bench).where("_hit is null").drop("_words", "_hit", "_items")
+    found, names = scanned(docs, bench)
+    return found.where(F.col(names[1]).isNull()).drop(*names)
 
 
 ORACLE = r"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Iterable
 from functools import lru_cache
@@ -9,6 +10,8 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.dedup import scratch
+
 #: Values of splitmix64 and of a 64-bit polynomial; any odd constants would do.
 GOLDEN, MIX_A, MIX_B, BASE = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93
 #: Words whose hashes a worker remembers before it starts afresh.
@@ -24,29 +27,36 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, f"{BATCH_BYTES}b")
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The folder that all machines share: spark.checkpoint.dir, or a local one set here when it is unset (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("corpusmill.scratch.dir", None)
-    if not folder:
-        import tempfile
+_made = threading.local()
+
 
-        folder = "file://" + tempfile.mkdtemp(prefix="corpusmill-")
-        spark.conf.set("corpusmill.scratch.dir", folder)
-    return f"{folder}/corpusmill-{spark.sparkContext.applicationId}"
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A new folder's path below the core's scratch folder, remembered for release()."""
+    path = f"{scratch(spark)}/{tag}-{uuid.uuid4().hex}"
+    _made.paths = [*getattr(_made, "paths", []), path]
+    return path
 
 
 def staged(df: DataFrame, tag: str, **options) -> DataFrame:
     """Write df into the shared folder and read it back: lineage ends here and a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, tag)
     df.write.options(**({"compression": "zstd"} | options)).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def mark() -> int:
+    """How many tables this thread has made, for release()."""
+    return len(getattr(_made, "paths", []))
 
 
-def release(spark: SparkSession) -> None:
-    """Delete what staged() wrote in this application. Call it once the results that read it are written."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def release(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Delete the tables that this thread made since mark(), but for the last `keep`. Only what no result still reads may go."""
+    paths = getattr(_made, "paths", [])
+    gone = paths[since : len(paths) - keep]
+    for name in gone:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _made.paths = [x for x in paths if x not in gone]
 
 
 def free_names(columns: Iterable[str], *names: str) -> list[str]:

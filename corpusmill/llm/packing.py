@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .kit import staged
+from .kit import free_names, staged
 from .tokens import crc, encoder
 
 CAPACITY, UNIT = 4096, 16
@@ -148,21 +148,24 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY, unit: int = UNIT) -> Dat
     Pieces that no pattern of whole units fills exactly leave padding of under one unit each.
     """
     spark = pieces.sparkSession
-    pieces = pieces.withColumn("_width", F.ceil(F.col("length") / F.lit(unit)).cast("int"))
-    schema = pieces.schema
-    names = [f.name for f in schema]
+    own = pieces.columns
+    width, part_name, rank_name, slot_name = free_names([*own, "sequence_id", "offset"], "width", "part", "rank", "slot")
+    pieces = pieces.withColumn(width, F.ceil(F.col("length") / F.lit(unit)).cast("int"))
+    ddl = lambda fields: ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
     def ranked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, seen = TaskContext.get().partitionId(), {}
         for frame in frames:
-            rank = frame.groupby("_width").cumcount() + frame["_width"].map(seen).fillna(0).astype("int64")
-            for w, k in frame["_width"].value_counts().items():
+            rank = frame.groupby(width).cumcount() + frame[width].map(seen).fillna(0).astype("int64")
+            for w, k in frame[width].value_counts().items():
                 seen[w] = seen.get(w, 0) + int(k)
-            yield frame.assign(_part=np.int32(part), _rank=rank.astype("int64"))
+            yield frame.assign(**{part_name: np.int32(part), rank_name: rank.astype("int64")})
 
-    ranks = staged(pieces.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "_width", "doc_id", "start", "ids_crc32").sortWithinPartitions("_width", "doc_id", "start", "ids_crc32").mapInPandas(ranked, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema) + ", _part int, _rank long"), "ranks")
+    by = [width, *(c for c in ("doc_id", "start", "ids_crc32") if c in own)]
+    ordered = pieces.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *by).sortWithinPartitions(*by)
+    ranks = staged(ordered.mapInPandas(ranked, f"{ddl(pieces.schema)}, `{part_name}` int, `{rank_name}` long"), "ranks")
     # the parts hold neighbouring widths, so this has about a row for each part and width
-    counts = ranks.groupBy("_width", "_part").count().orderBy("_width", "_part").collect()
+    counts = ranks.groupBy(width, part_name).count().orderBy(width, part_name).collect()
     demand, before = np.zeros(capacity // unit, np.int64), {}
     for w, part, n in counts:
         before[w, part] = int(demand[w - 1])
@@ -172,13 +175,13 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY, unit: int = UNIT) -> Dat
     def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             sequence, slot = np.zeros(len(frame), np.int64), np.zeros(len(frame), np.int64)
-            for (w, part), rows in frame.groupby(["_width", "_part"]).indices.items():
-                sequence[rows], slot[rows] = places.of_ranks(int(w), frame["_rank"].to_numpy()[rows] + before[w, part])
-            yield frame[[x for x in names if x != "_width"]].assign(sequence_id=sequence, _slot=slot)
+            for (w, part), rows in frame.groupby([width, part_name]).indices.items():
+                sequence[rows], slot[rows] = places.of_ranks(int(w), frame[rank_name].to_numpy()[rows] + before[w, part])
+            yield frame[own].assign(**{"sequence_id": sequence, slot_name: slot})
 
-    placed = ranks.mapInPandas(place, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema if f.name != "_width") + ", sequence_id long, _slot long")
-    upto = F.sum("length").over(Window.partitionBy("sequence_id").orderBy("_slot"))
-    return placed.withColumn("offset", upto - F.col("length")).drop("_slot")
+    placed = ranks.mapInPandas(place, f"{ddl(f for f in pieces.schema if f.name != width)}, sequence_id long, `{slot_name}` long")
+    upto = F.sum("length").over(Window.partitionBy("sequence_id").orderBy(slot_name))
+    return placed.withColumn("offset", upto - F.col("length")).drop(slot_name)
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:

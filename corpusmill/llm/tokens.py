@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .kit import scratch_root
+from .kit import scratch_path
 
 #: White space in the tokenizers' sense after a space.
 SPACES_MEET = r" [\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -287,9 +287,7 @@ def token_digests(tokens: DataFrame) -> DataFrame:
 
 def token_output(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:
     """Write the documents' token files into the shared folder and return their digests as read back."""
-    import uuid
-
     spark = docs.sparkSession
-    path = f"{scratch_root(spark)}/tokens-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "tokens")
     write_tokens(docs, path, tokenizer_path, end_id)
     return token_digests(read_tokens(spark, path))
