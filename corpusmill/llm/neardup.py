@@ -2,9 +2,16 @@
 
 Every distinct shingle set has a signature of some runs of SHALLOW MinHash values. Each run is one sorted order
 of the corpus; neighbours in it that share all its values are candidates. In a region (sets that candidates
-connect) all sets are compared exactly, in postings of their shingles, whatever their signatures say; larger
-regions are compared exactly in pairs of blocks. The sets of very large regions are signed anew with more and
-longer runs, of DEEP values, whose candidates make smaller regions of them.
+connect) all sets are compared exactly, in postings of their shingles, whatever their signatures say. The depth
+adapts to the region: the sets of very large ones are signed anew with more and longer runs, of DEEP values, whose
+candidates make smaller regions of them.
+
+A region is compared in blocks. Each block compares its sets exactly and names leaders: every set is a leader or links
+with one, and a leader's radius is the largest distance of such a set. Only leaders meet those of other blocks. Jaccard
+distance is a metric: where two leaders are further apart than the links' distance and both radii, none of their
+sets link; where they link, the sets are connected already; else the sets themselves are compared, unless other links
+have connected them by then. So no text is compared with a large group of near copies more than a few times, and no link
+between different groups is lost.
 
 With s the similarity and d the depth, a pair is missed with probability (1 - s ** d) ** runs. At either depth there
 are as many runs as bring this to MISSED / 2 where s is the threshold: 17 of 4 values and 40 of 8 at 0.85, 24 and 69
@@ -29,10 +36,10 @@ WORDS, PERCENT = 5, 85
 SHALLOW, DEEP = 4, 8
 #: Highest probability that a pair at the threshold is missed.
 MISSED = 7.5e-6
-#: Most sets and text bytes of a region that one task compares at once; a larger one is cut into blocks that meet in pairs.
-REGION_SETS, REGION_BYTES = 4096, 16 << 20
+#: Most sets and text bytes of a region that one task compares at once; a larger one is cut into blocks.
+REGION_SETS, REGION_BYTES = 512, 8 << 20
 #: The sets of a region of more blocks than this are signed anew first.
-REGION_BLOCKS = 8
+REGION_BLOCKS = 64
 
 
 def runs(percent: int, depth: int, missed: float) -> int:
@@ -182,11 +189,11 @@ def components(edges: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("root")).union(pairs.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def linked(names: list, sets: list[np.ndarray], percent: int = PERCENT) -> dict:
-    """Union-find over the pairs of sets with 100 * intersection >= percent * union, all compared through postings of their elements."""
+def overlaps(sets: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+    """(x, how many elements x has in common with each set before it), found through postings of the elements."""
     n = len(sets)
     if not n:
-        return {}
+        return
     size = np.array([len(x) for x in sets], np.int64)
     owner = np.repeat(np.arange(n), size)
     order = np.argsort(np.concatenate(sets), kind="stable")
@@ -195,20 +202,49 @@ def linked(names: list, sets: list[np.ndarray], percent: int = PERCENT) -> dict:
     stops = np.append(starts[1:], len(values))
     group = np.empty(len(values), np.int64)
     group[order] = np.repeat(np.arange(len(starts)), stops - starts)
-    pairs, at = [(x, x) for x in names], 0
+    at = 0
     for x in range(n):
         own = group[at : at + size[x]]
         at += size[x]
         own = own[stops[own] - starts[own] > 1]
         many = stops[own] - starts[own]
-        ends = np.cumsum(many)
         if not len(own):
+            yield x, np.zeros(x, np.int64)
             continue
+        ends = np.cumsum(many)
         met = owners[np.repeat(starts[own] - (ends - many), many) + np.arange(ends[-1])]
-        common = np.bincount(met, minlength=n)[:x]
-        for y in np.flatnonzero(100 * common >= percent * (size[:x] + size[x] - common)).tolist():
-            pairs.append((names[x], names[y]))
-    return rooted(pairs)
+        yield x, np.bincount(met, minlength=n)[:x]
+
+
+def clustered(names: list, sets: list[np.ndarray], percent: int = PERCENT) -> tuple[dict, np.ndarray, np.ndarray]:
+    """(each name's smallest name over links, each set's leader, the distance to it): sets link with 100 * intersection >= percent * union.
+
+    A set that links with no leader before it is a leader; others have the nearest, the first of equals.
+    """
+    n = len(sets)
+    size = np.array([len(x) for x in sets], np.int64)
+    label, leader, distance = np.arange(n), np.arange(n), np.zeros(n)
+    for x, common in overlaps(sets):
+        union = size[:x] + size[x] - common
+        links = np.flatnonzero(100 * common >= percent * union)
+        if not len(links):
+            continue
+        label[np.isin(label, label[links])] = label[links[0]]
+        label[x] = label[links[0]]
+        heads = links[leader[links] == links]
+        if len(heads):
+            apart = 1 - common[heads] / union[heads]
+            leader[x], distance[x] = heads[apart.argmin()], apart.min()
+    least: dict[int, object] = {}
+    for k, name in zip(label.tolist(), names, strict=True):
+        least[k] = min(name, least.get(k, name))
+    # sets of one name are connected
+    return rooted((name, least[k]) for k, name in zip(label.tolist(), names, strict=True)), leader, distance
+
+
+def linked(names: list, sets: list[np.ndarray], percent: int = PERCENT) -> dict:
+    """Each name's smallest name over the links of the sets, all compared."""
+    return clustered(names, sets, percent)[0]
 
 
 def regions(edges: DataFrame, sizes: DataFrame, deeper: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -219,7 +255,9 @@ def regions(edges: DataFrame, sizes: DataFrame, deeper: Callable[[DataFrame], Da
 
     def placed(edges: DataFrame) -> DataFrame:
         found = components(edges).join(sizes, "node")
-        totals = found.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+        # written out, so that a region with very many sets can be split over tasks in the join below
+        found = staged(found, "rooted")
+        totals = staged(found.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")), "totals")
         need = F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(REGION_SETS)), F.ceil(F.col("bytes") / F.lit(REGION_BYTES))).cast("int")
         return staged(found.join(totals.select("root", need.alias("blocks")), "root").select("node", F.col("root").alias("region"), "blocks"), "regions")
 
@@ -230,6 +268,94 @@ def regions(edges: DataFrame, sizes: DataFrame, deeper: Callable[[DataFrame], Da
     return found.where(F.col("blocks") <= REGION_BLOCKS).union(placed(deeper(large.select("node"))))
 
 
+def _sets_of(names: list, texts: list) -> tuple[list, list[np.ndarray]]:
+    """Names and shingle sets of texts, without empty ones and without a name's repeated sets."""
+    out, sets, seen = [], [], set()
+    for name, text in zip(names, texts, strict=True):
+        found = shingles(text)
+        key = (name, found.tobytes())
+        if len(found) and key not in seen:
+            seen.add(key)
+            out.append(name)
+            sets.append(found)
+    return out, sets
+
+
+def confirmed(placed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """(node, root): the sets of placed (node, region, blocks) that link with others, each with the smallest it is connected with.
+
+    texts: node, text. Every block is compared by itself; of regions with more than one, leaders and what they leave open.
+    """
+    kind = placed.schema["node"].dataType.simpleString()
+    near = 1 - percent / 100
+    columns = ["step", "a", "b", "final", "distance", "region", "block", "elements"]
+    schema = f"step string, a {kind}, b {kind}, final boolean, distance double, region {kind}, block int, elements binary"
+    cut = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+
+    def frame_of(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=columns)
+
+    def within(frame: pd.DataFrame) -> pd.DataFrame:
+        names, sets = _sets_of(frame["node"].tolist(), frame["text"].tolist())
+        roots, leader, distance = clustered(names, sets, percent)
+        region, block, final = frame["region"].iloc[0], int(frame["block"].iloc[0]), bool(frame["blocks"].iloc[0] == 1)
+        rows = [("link", x, r, final, 0.0, region, block, None) for x, r in roots.items() if x != r]
+        if not final:
+            radius = np.zeros(len(names))
+            np.maximum.at(radius, leader, distance)
+            rows += [("leader", names[k], names[k], False, radius[k], region, block, sets[k].tobytes()) for k in np.unique(leader).tolist()]
+            rows += [("set", names[k], names[x], False, distance[k], region, block, None) for k, x in enumerate(leader.tolist())]
+        return frame_of(rows)
+
+    first = staged(cut.join(texts, "node").groupBy("region", "block").applyInPandas(within, schema), "blocks")
+    final = first.where("step = 'link' and final").select(F.col("a").alias("node"), F.col("b").alias("root"))
+    leaders = first.where("step = 'leader'").select(F.col("a").alias("node"), "region", "block", F.col("distance").alias("radius"), "elements")
+    if not leaders.take(1):
+        return final
+
+    # leaders meet those of other blocks of their region, again in parts that one task can hold
+    held = staged(leaders.groupBy("region").agg(F.greatest(F.ceil(F.count("*") / F.lit(REGION_SETS)), F.ceil(F.sum(F.length("elements")) / F.lit(REGION_BYTES)), F.lit(1)).cast("int").alias("parts")), "parts")
+    dealt = leaders.join(held, "region").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
+    dealt = dealt.select("node", "region", "block", "radius", "elements", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"))
+
+    def across(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.drop_duplicates(["node", "elements"])
+        names, blocks, radius = frame["node"].tolist(), frame["block"].to_numpy(), frame["radius"].to_numpy()
+        sets, rows = [np.frombuffer(x, np.uint64) for x in frame["elements"]], []
+        size = np.array([len(x) for x in sets], np.int64)
+        region = frame["region"].iloc[0]
+        for x, common in overlaps(sets):
+            union = size[:x] + size[x] - common
+            links = 100 * common >= percent * union
+            apart = 1 - common / union
+            open_ = ~links & (blocks[:x] != blocks[x]) & (apart <= near + radius[:x] + radius[x] + 1e-9)
+            rows += [("link", names[x], names[y], False, 0.0, region, 0, None) for y in np.flatnonzero(links).tolist() if names[x] != names[y]]
+            rows += [("open", names[x], names[y], False, apart[y], region, 0, None) for y in np.flatnonzero(open_).tolist()]
+        return frame_of(rows)
+
+    second = staged(dealt.groupBy("region", "p", "q").applyInPandas(across, schema), "leaders")
+    edges = first.where("step = 'link' and not final").select("a", "b").union(second.where("step = 'link'").select("a", "b"))
+    joined = staged(components(edges), "joined")
+
+    # pairs of leaders that nothing has connected yet: their sets are compared, but for those that are too near to their leader to reach the other's
+    root = lambda side: joined.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
+    open_pairs = second.where("step = 'open'").select("a", "b", "distance").distinct().join(root("a"), "a", "left").join(root("b"), "b", "left")
+    open_pairs = staged(open_pairs.where(~F.coalesce("a_root", "a").eqNullSafe(F.coalesce("b_root", "b"))).select("a", "b", "distance"), "open")
+    if open_pairs.take(1):
+        radii = leaders.groupBy("node").agg(F.max("radius").alias("radius"))
+        sets = first.where("step = 'set'").select(F.col("a").alias("node"), F.col("b").alias("leader"), F.col("distance").alias("own")).distinct()
+        sides = [(open_pairs.select(F.col(x).alias("leader"), F.col(y).alias("node"), "a", "b", "distance").join(radii, "node").drop("node")) for x, y in (("a", "b"), ("b", "a"))]
+        wanted = sides[0].union(sides[1]).join(sets, "leader").where(F.col("own") >= F.col("distance") - near - F.col("radius") - 1e-9).select("a", "b", "node")
+
+        def compared(frame: pd.DataFrame) -> pd.DataFrame:
+            roots = linked(*_sets_of(frame["node"].tolist(), frame["text"].tolist()), percent)
+            return pd.DataFrame([(x, r) for x, r in roots.items() if x != r], columns=["a", "b"])
+
+        third = staged(wanted.join(texts, "node").groupBy("a", "b").applyInPandas(compared, f"a {kind}, b {kind}"), "sets")
+        joined = components(edges.union(third))
+    return final.union(joined.where("node <> root").select("node", "root"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable over links), kept (doc_id = component_id).
 
@@ -253,32 +379,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         return staged(neighbours(resigned, again, DEEP), "links")
 
     placed = regions(edges, sizes, deeper)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    # each block meets itself and every other of its region
-    cut = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    meetings = cut.select("node", "region", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "blocks")
     texts = docs.select(F.col("doc_id").alias("node"), "text").where("text is not null")
-
-    def confirm(frame: pd.DataFrame) -> pd.DataFrame:
-        names, sets, seen = [], [], set()
-        for name, text in zip(frame["node"].tolist(), frame["text"].tolist(), strict=True):
-            found = shingles(text)
-            key = (name, found.tobytes())
-            if len(found) and key not in seen:
-                seen.add(key)
-                names.append(name)
-                sets.append(found)
-        del seen
-        roots = linked(names, sets, percent)
-        pairs = [(x, r) for x, r in roots.items() if x != r]
-        return pd.DataFrame({"a": pd.Series([x for x, _ in pairs], dtype=frame["node"].dtype), "b": pd.Series([r for _, r in pairs], dtype=frame["node"].dtype), "final": bool(frame["blocks"].iloc[0] == 1)})
-
-    links = staged(meetings.join(texts, "node").groupBy("region", "p", "q").applyInPandas(confirm, f"a {kind}, b {kind}, final boolean"), "confirmed")
-    joined = links.where("final").select(F.col("a").alias("node"), F.col("b").alias("root"))
-    rest = links.where("not final")
-    if rest.take(1):
-        joined = joined.union(components(rest.select("a", "b")).where("node <> root"))
+    joined = confirmed(placed, texts, percent)
     out = signed.select("doc_id", "n_shingles", "high", "low").join(classes, ["high", "low"], "left").join(joined, "node", "left")
     component = F.coalesce("root", "node", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))

@@ -23,7 +23,7 @@ def test_ten_operators():
 
 def test_pipeline(spark):
     """Each stage against plain rules on its own input; all but the last keep the columns."""
-    from test_pairs import brute
+    from test_near_thresholds import plain_roots
     from test_scans import plain_hits, plain_spans
 
     from corpusmill.llm import quality
@@ -40,7 +40,7 @@ def test_pipeline(spark):
         if name == "quality":
             assert set(after) == {k for k, r in before.items() if not any(x.rejects(quality.Page(r.text)) for x in quality.RULES)}
         elif name == "near_dedup":
-            assert set(after) == {k for k, (_, root) in brute([(k, r.text) for k, r in before.items()]).items() if k == root}
+            assert set(after) == {k for k, root in plain_roots([(k, r.text) for k, r in before.items()], corpus_pipeline.SIMILAR).items() if k == root}
         elif name == "decontamination":
             assert set(after) == {k for k, r in before.items() if not plain_hits(r.text, items)[-1]}
         else:
