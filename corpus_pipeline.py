@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm import decontaminate, neardup, packing, pii, quality
-from corpusmill.llm.kit import small_batches, staged
+from corpusmill.llm.kit import free_names, mark, release, small_batches, staged
 from corpusmill.llm.queries import table, tokenizer_file
 from corpusmill.shipping import ship
 
@@ -40,7 +40,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(docs.select("doc_id", "text"), SIMILAR).where("kept and doc_id is not null").select("doc_id").distinct()
     # the join's partitioning serves the window too
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    named = docs.where("doc_id is not null").join(found, "doc_id", "left_semi").withColumn("_first", first).where("_first = 1")
+    (place,) = free_names(docs.columns, "place")
+    named = docs.where("doc_id is not null").join(found, "doc_id", "left_semi").withColumn(place, first).where(F.col(place) == 1)
     return named.select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
@@ -75,9 +76,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents. What a stage leaves on the shared disk goes once its rows are written, which the next one reads."""
+    docs, since = table(spark, sf_dir, "documents"), mark()
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
             docs = staged(docs, f"pipeline-{name}")
+            release(spark, since, keep=1)
     return docs
