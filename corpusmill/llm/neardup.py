@@ -10,8 +10,8 @@ A region is compared in blocks. Each block compares its sets exactly and names l
 with one, and a leader's radius is the largest distance of such a set. Only leaders meet those of other blocks. Jaccard
 distance is a metric: where two leaders are further apart than the links' distance and both radii, none of their
 sets link; where they link, the sets are connected already; else the sets themselves are compared, unless other links
-have connected them by then. So no text is compared with a large group of near copies more than a few times, and no link
-between different groups is lost.
+have connected them by then, in meetings of two blocks. So a group of near copies of any size is compared in time that grows
+with its blocks, not with their square, and no link between different groups is lost.
 
 With s the similarity and d the depth, a pair is missed with probability (1 - s ** d) ** runs. At either depth there
 are as many runs as bring this to MISSED / 2 where s is the threshold: 17 of 4 values and 40 of 8 at 0.85, 24 and 69
@@ -37,9 +37,9 @@ SHALLOW, DEEP = 4, 8
 #: Highest probability that a pair at the threshold is missed.
 MISSED = 7.5e-6
 #: Most sets and text bytes of a region that one task compares at once; a larger one is cut into blocks.
-REGION_SETS, REGION_BYTES = 512, 8 << 20
+REGION_SETS, REGION_BYTES = 4096, 16 << 20
 #: The sets of a region of more blocks than this are signed anew first.
-REGION_BLOCKS = 64
+REGION_BLOCKS = 8
 
 
 def runs(percent: int, depth: int, missed: float) -> int:
@@ -337,21 +337,25 @@ def confirmed(placed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     edges = first.where("step = 'link' and not final").select("a", "b").union(second.where("step = 'link'").select("a", "b"))
     joined = staged(components(edges), "joined")
 
-    # pairs of leaders that nothing has connected yet: their sets are compared, but for those that are too near to their leader to reach the other's
-    root = lambda side: joined.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
-    open_pairs = second.where("step = 'open'").select("a", "b", "distance").distinct().join(root("a"), "a", "left").join(root("b"), "b", "left")
-    open_pairs = staged(open_pairs.where(~F.coalesce("a_root", "a").eqNullSafe(F.coalesce("b_root", "b"))).select("a", "b", "distance"), "open")
-    if open_pairs.take(1):
-        radii = leaders.groupBy("node").agg(F.max("radius").alias("radius"))
-        sets = first.where("step = 'set'").select(F.col("a").alias("node"), F.col("b").alias("leader"), F.col("distance").alias("own")).distinct()
-        sides = [(open_pairs.select(F.col(x).alias("leader"), F.col(y).alias("node"), "a", "b", "distance").join(radii, "node").drop("node")) for x, y in (("a", "b"), ("b", "a"))]
-        wanted = sides[0].union(sides[1]).join(sets, "leader").where(F.col("own") >= F.col("distance") - near - F.col("radius") - 1e-9).select("a", "b", "node")
+    # pairs of leaders that nothing has connected yet: their blocks' sets are compared, but for those that are too near to their leader to reach the other's
+    heads = leaders.groupBy("node").agg(F.max("radius").alias("radius"), F.min("block").alias("block"), F.min("region").alias("region"))
+    side = lambda x: joined.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root"))
+    met = second.where("step = 'open'").select("a", "b", "distance").distinct().join(side("a"), "a", "left").join(side("b"), "b", "left")
+    met = staged(met.where(~F.coalesce("a_root", "a").eqNullSafe(F.coalesce("b_root", "b"))).select("a", "b", "distance"), "open")
+    if met.take(1):
+        head = lambda x: heads.select(F.col("node").alias(x), F.col("radius").alias(f"{x}_radius"), F.col("block").alias(f"{x}_block"), "region")
+        pairs = met.join(head("a"), "a").join(head("b").drop("region"), "b").select("*", F.least("a_block", "b_block").alias("p"), F.greatest("a_block", "b_block").alias("q"))
+        # how far from a leader a set must be at least to matter in a meeting of two blocks
+        reach = lambda x, y: pairs.select(F.col(x).alias("leader"), "region", "p", "q", (F.col("distance") - near - F.col(f"{y}_radius")).alias("least"))
+        reached = reach("a", "b").union(reach("b", "a")).groupBy("leader", "region", "p", "q").agg(F.min("least").alias("least"))
+        sets = first.where("step = 'set'").select(F.col("a").alias("node"), F.col("b").alias("leader"), F.col("distance").alias("own"))
+        wanted = sets.join(reached, "leader").where("own >= least - 1e-9").select("region", "p", "q", "node").distinct()
 
         def compared(frame: pd.DataFrame) -> pd.DataFrame:
             roots = linked(*_sets_of(frame["node"].tolist(), frame["text"].tolist()), percent)
             return pd.DataFrame([(x, r) for x, r in roots.items() if x != r], columns=["a", "b"])
 
-        third = staged(wanted.join(texts, "node").groupBy("a", "b").applyInPandas(compared, f"a {kind}, b {kind}"), "sets")
+        third = staged(wanted.join(texts, "node").groupBy("region", "p", "q").applyInPandas(compared, f"a {kind}, b {kind}"), "sets")
         joined = components(edges.union(third))
     return final.union(joined.where("node <> root").select("node", "root"))
 
