@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from unicodedata import is_normalized, normalize
 
 import pyarrow as pa
@@ -57,14 +58,46 @@ def _insensitive(expression: str, flag: bool) -> str:
     return f"(?iu){expression}" if flag else expression
 
 
+#: What Windows-1252 shows for the bytes 80 to 9F; the few that it leaves open stand for themselves, as in Latin-1.
+SHOWN_AS = {ord(bytes([b]).decode("cp1252", "ignore") or chr(b)): b for b in range(0x80, 0xA0)}
+#: The first two bytes of a character in UTF-8, each read as a character.
+MANGLED = re.compile(f"[\xc2-\xf4][\x80-\xbf{''.join(map(chr, SHOWN_AS))}]")
+
+
+def repaired(text: str) -> str:
+    """text with those lines mended that are UTF-8 read as Latin-1 or Windows-1252, once or more often.
+
+    Such a line is one whose characters, taken as bytes, are UTF-8 throughout; any other stays as it is.
+    """
+
+    def mended(line: str) -> str:
+        try:
+            return repaired(line.translate(SHOWN_AS).encode("latin-1").decode("utf-8"))
+        except UnicodeError:
+            return line
+
+    if text.isascii() or not MANGLED.search(text):
+        return text
+    return "\n".join(mended(line) if MANGLED.search(line) else line for line in text.split("\n"))
+
+
+def _nfc(text: str) -> str:
+    return text if is_normalized("NFC", text) else normalize("NFC", text)
+
+
 @F.arrow_udf(StringType())
 def nfc(texts: pa.Array) -> pa.Array:
-    return pa.array([t if t is None or t.isascii() or is_normalized("NFC", t) else normalize("NFC", t) for t in texts.to_pylist()], pa.string())
+    return pa.array([t if t is None or t.isascii() else _nfc(t) for t in texts.to_pylist()], pa.string())
+
+
+@F.arrow_udf(StringType())
+def repaired_nfc(texts: pa.Array) -> pa.Array:
+    return pa.array([t if t is None or t.isascii() else _nfc(repaired(t)) for t in texts.to_pylist()], pa.string())
 
 
-def fix_encoding(text: Column) -> Column:
-    """Unicode NFC, in Arrow batches; Spark has no such function."""
-    return nfc(text)
+def fix_encoding(text: Column, repair: bool = True) -> Column:
+    """Lines in a wrong encoding mended, then Unicode NFC, in Arrow batches; Spark has no such functions."""
+    return repaired_nfc(text) if repair else nfc(text)
 
 
 def remove_html(text: Column) -> Column:

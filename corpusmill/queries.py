@@ -99,6 +99,14 @@ def fix_encoding(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.fix_encoding(F.col("text")).alias("fixed"))
 
 
+@query("SELECT doc_id, nfc_normalize(text) AS fixed FROM documents")
+def repair_encoding(spark, sf_dir):
+    """Texts whose UTF-8 was read as Latin-1, every third one twice, as they were."""
+    mangled = lambda t: F.decode(F.encode(t, "UTF-8"), "ISO-8859-1")
+    docs = table(spark, sf_dir, "documents").withColumn("text", mangled(F.col("text"))).withColumn("text", F.when(F.col("doc_id") % 3 == 0, mangled(F.col("text"))).otherwise(F.col("text")))
+    return docs.select("doc_id", text.fix_encoding(F.col("text")).alias("fixed"))
+
+
 ARABIC = [
     (1, "أَرض إِلى"), (2, "فلسطين abc"), (3, ""), (4, "٠١٢٣ ٤٥٦٧٨٩"), (5, "مـــدرسة"), (6, "[[فلسطين|فلسطين التاريخية]] '''نص''' [1]"), (7, "x [١] y [2]"),
     (8, "Cookie Policy abc\nnext"), (9, "SUBSCRIBE TO our\nnewsletter now\nrest"), (10, "نص == مراجع == ذيل"), (11, "{{قالب}}بعد\n* عنصر\n# عنصر"), (12, "[[ملف:صورة.png]] صورة © 2024 حقوق"),

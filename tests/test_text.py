@@ -31,6 +31,34 @@ def test_full_clean(spark, raw, wiki, wanted):
     assert text.cleaned(df, "t", is_wiki=wiki).first()[0] == wanted
 
 
+def _shown(raw: str, charset: str) -> str:
+    """raw's UTF-8 as a program shows it that takes it for another charset; bytes without a character stand for themselves."""
+    return "".join(bytes([b]).decode(charset, "ignore") or chr(b) for b in raw.encode())
+
+
+MANGLED = ["فلسطين ثقافة وتاريخ", "naïve “café” — 5 €", "plain", "日本 😀", "a\nب\n\nç", ""]
+
+
+@pytest.mark.parametrize("charset", ["cp1252", "latin-1"])
+@pytest.mark.parametrize("raw", MANGLED)
+def test_repaired(raw, charset):
+    once = _shown(raw, charset)
+    assert text.repaired(once) == raw and text.repaired(_shown(once, charset)) == raw
+    assert text.repaired(raw) == raw
+
+
+@pytest.mark.parametrize("raw", ["é becomes Ã©", "„FOÖ“", "Ã", "schön Ã¼ber", "فلسطين Ø§", "\ud800Ã©", "Â"])
+def test_not_repaired(raw):
+    """A line that is not UTF-8 throughout stays."""
+    assert text.repaired(raw) == raw
+
+
+def test_repair_by_line(spark):
+    mixed = "Ø§Ù„Ù‚Ø¯Ø³\nschön"
+    df = spark.createDataFrame([(mixed,), (None,)], "t string")
+    assert [r[:] for r in df.select(text.fix_encoding(F.col("t")), text.fix_encoding(F.col("t"), repair=False)).collect()] == [("القدس\nschön", mixed), (None, None)]
+
+
 def test_marks_can_stay(spark):
     df = spark.createDataFrame([("أَرض",)], "t string")
     assert df.select(text.normalize_arabic(F.col("t"), remove_diacritics=False)).first()[0] == "اَرض"
