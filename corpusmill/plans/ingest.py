@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fields import make_doc_id, optional_int, page_url
@@ -46,24 +46,32 @@ def pages_to_documents(pages: DataFrame, source: dict | None = None, language: s
     return as_documents(docs, ("ingest_seq",)), rejected
 
 
-def routed(docs: DataFrame, threshold: float = THRESHOLD, order: str = "ingest_seq") -> DataFrame:
-    """docs with quality columns, has_duplicate, is_duplicate_of, rejection_reason and route (accepted or rejected).
+def gate() -> Column:
+    """Whether the quality decision keeps a document out."""
+    return F.col("quality_decision").isin("reject", "hard_reject")
 
-    Documents that fail the quality gate are not compared for duplicates. A duplicate keeps its quality decision,
-    is rejected for the reason duplicate, and names the document it repeats. The checked documents are written to
-    the shared folder once, since both gates and every output read them.
-    """
-    judged = shared(checked(docs.drop("quality_score", "quality_decision", "rejection_reason", "has_duplicate", "is_duplicate_of")), "checked")
-    passed = ~F.col("quality_decision").isin("reject", "hard_reject")
-    dups = duplicates(judged.where(passed).select(F.col(order).cast("bigint").alias("seq"), "text"), threshold)
-    names = judged.select(F.col(order).cast("bigint").alias("canonical"), F.col("doc_id").alias("is_duplicate_of"))
-    named = dups.join(names, "canonical").select(F.col("seq").alias("_seq"), "is_duplicate_of")
+
+def gated(judged: DataFrame, dups: DataFrame, names: DataFrame, order: str) -> DataFrame:
+    """judged with has_duplicate, is_duplicate_of, rejection_reason and route. dups: seq, canonical; names: seq, doc_id of all canonical documents."""
+    named = dups.join(names.select(F.col("seq").alias("canonical"), F.col("doc_id").alias("is_duplicate_of")), "canonical").select(F.col("seq").alias("_seq"), "is_duplicate_of")
     out = judged.join(named, judged[order].cast("bigint") == F.col("_seq"), "left").drop("_seq")
     repeated = F.col("is_duplicate_of").isNotNull()
     return out.withColumns(
         {
             "has_duplicate": repeated,
             "rejection_reason": F.when(repeated, "duplicate").otherwise(F.col("rejection_reason")),
-            "route": F.when(passed & ~repeated, "accepted").otherwise("rejected"),
+            "route": F.when(~gate() & ~repeated, "accepted").otherwise("rejected"),
         }
     )
+
+
+def routed(docs: DataFrame, threshold: float = THRESHOLD, order: str = "ingest_seq") -> DataFrame:
+    """docs with quality columns, has_duplicate, is_duplicate_of, rejection_reason and route (accepted or rejected).
+
+    Documents that fail the quality gate are not compared for duplicates. A duplicate keeps its quality decision,
+    is rejected for the reason duplicate, and names the document it repeats. The checked documents are written to
+    the shared folder once, since both gates and every output read them.
+    """
+    judged = shared(checked(docs.drop("quality_score", "quality_decision", "rejection_reason", "has_duplicate", "is_duplicate_of")), "checked")
+    dups = duplicates(judged.where(~gate()).select(F.col(order).cast("bigint").alias("seq"), "text"), threshold)
+    return gated(judged, dups, judged.select(F.col(order).cast("bigint").alias("seq"), "doc_id"), order)

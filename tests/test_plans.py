@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.operators import stats
+from corpusmill.operators import dedup, stats
 from corpusmill.plans import ingest, schema
 from corpusmill.sources import config, files
 from corpusmill.streaming import incremental
@@ -100,6 +100,46 @@ def test_stream(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/a").count() == 3 and spark.read.parquet(f"{tmp_path}/r").count() == 1
 
 
+def test_stream_near_duplicates(spark, tmp_path):
+    """Files that arrive one by one are routed as the plan routes them together; another run goes on after the first."""
+    made = docs(spark).withColumn("text", F.when(F.col("doc_id") == "b", F.concat("text", F.lit(" again"))).otherwise(F.col("text")))
+    late = made.where("doc_id = 'd'").withColumns({"ingest_seq": F.lit(5).cast("long"), "doc_id": F.lit("f"), "text": F.concat("text", F.lit(" once more"))})
+    whole = made.unionByName(late).drop("word_count", "char_count")
+    schema_of = whole.schema
+    start = lambda: incremental.deduplicated_to(
+        incremental.prepared(spark.readStream.schema(schema_of).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")), f"{tmp_path}/a", f"{tmp_path}/r", f"{tmp_path}/index", f"{tmp_path}/c"
+    )
+    for part in ((0, 1), (2, 3, 4), (5,)):
+        for k in part:
+            whole.where(F.col("ingest_seq") == k).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        start().awaitTermination(240)
+    shown = lambda df: {r.doc_id: (r.rejection_reason, r.is_duplicate_of, r.quality_decision) for r in df.collect()}
+    wanted = ingest.routed(incremental.prepared(whole))
+    for route, folder in (("accepted", "a"), ("rejected", "r")):
+        assert shown(spark.read.parquet(f"{tmp_path}/{folder}")) == shown(wanted.where(F.col("route") == route))
+    found = shown(spark.read.parquet(f"{tmp_path}/r"))
+    assert found["b"][:2] == ("duplicate", "a") and found["f"][:2] == ("duplicate", "d")
+    assert spark.read.parquet(f"{tmp_path}/index").count() == 3
+
+
+def test_window_counts(spark, tmp_path):
+    rows = [("2026-01-01 00:01:00", "accept", 3), ("2026-01-01 00:04:59", "accept", 4), ("2026-01-01 00:05:00", "accept", 5), ("2026-01-01 00:02:00", "reject", 1), ("2026-01-01 01:00:00", "accept", 9)]
+    df = spark.createDataFrame(rows, "ts string, quality_decision string, word_count long").withColumn("ts", F.col("ts").cast("timestamp"))
+    df.coalesce(1).write.parquet(f"{tmp_path}/in")
+    counted = incremental.counts_by_window(spark.readStream.schema(df.schema).parquet(f"{tmp_path}/in"), "ts")
+    counted.writeStream.format("memory").queryName("windows").outputMode("append").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination(120)
+    found = {(str(r.window.start.time()), r.quality_decision): (r.n, r.words) for r in spark.table("windows").collect()}
+    assert found == {("00:00:00", "accept"): (2, 7), ("00:00:00", "reject"): (1, 1), ("00:05:00", "accept"): (1, 5)}
+
+
+def test_tidied(spark):
+    with dedup.tidied(spark):
+        df = dedup.shared(spark.range(3), "gone")
+        (path,) = dedup._made.paths
+        assert df.count() == 3 and files.exists(spark, path)
+    assert not files.exists(spark, path) and dedup._made.paths is None
+
+
 def test_run_log(spark):
     events = spark.createDataFrame([("attempt", None), ("attempt", None), ("success", None), ("rejection", "empty_after_cleaning"), ("error", "x")], "kind string, reason string")
     assert stats.run_log_summary(events).first()[:] == (2, 1, 1, 1)
