@@ -22,7 +22,7 @@ def language_config(source: dict, language: str) -> dict:
 
 
 def pages_to_documents(pages: DataFrame, source: dict | None = None, language: str = "ar", entries=CREDIBILITY_MAP) -> tuple[DataFrame, DataFrame]:
-    """(documents, rejections) of pages (ingest_seq, seed, title, text, ...): rejections (key, reason) are pages empty after cleaning.
+    """(documents, rejections) of pages (ingest_seq, seed, title, text, ...): rejections (ingest_seq, key, reason) are pages empty after cleaning.
 
     A value of a wrong type becomes null instead of failing its page.
     """
@@ -31,7 +31,7 @@ def pages_to_documents(pages: DataFrame, source: dict | None = None, language: s
     column = lambda name, kind="string": F.col(name) if name in have else F.lit(None).cast(kind)
     raw = pages.withColumn("text_raw", F.coalesce("text", F.lit("")))
     clean = cleaned(raw, "text_raw", "text", is_wiki=True)
-    rejected = clean.where(F.length("text") == 0).select(page_key(F.col("title"), column("pageid")).alias("key"), F.lit("empty_after_cleaning").alias("reason"))
+    rejected = clean.where(F.length("text") == 0).select("ingest_seq", page_key(F.col("title"), column("pageid")).alias("key"), F.lit("empty_after_cleaning").alias("reason"))
     url = page_url(column("fullurl"), F.col("title"), language)
     docs = clean.where(F.length("text") > 0).withColumn("source_url", url)
     tier = F.lit(info["credibility_tier"]) if "credibility_tier" in info else credibility(F.col("source_url"), entries)["tier"]

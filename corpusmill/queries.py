@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from .functions import fields, text
 from .operators import credibility, dedup, entities, graph, quality, stats
-from .plans import ingest, schema
+from .plans import ingest, run, schema
 from .sources import files
+from .sources.wiki import WikiSource
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -430,6 +431,30 @@ def validation(spark, sf_dir):
     return rows.groupBy("violation").agg(F.count("*").alias("n"))
 
 
+_PAGE_TEXT = "CASE WHEN doc_id % 10 = 3 THEN '<br> ' ELSE text END"
+_PAGE_URL = "CASE WHEN doc_id % 2 = 1 THEN concat('https://', source, '.example.org/', doc_id) ELSE concat('https://ar.wikipedia.org/wiki/doc_', doc_id) END"
+
+
+@query(
+    f"""WITH c AS (SELECT *, {text.sql_full_clean('t')} AS clean, {_PAGE_URL} AS url FROM (SELECT *, {_PAGE_TEXT} AS t FROM documents))
+SELECT doc_id AS ingest_seq, CASE WHEN clean <> '' THEN sha256(concat(url, substring(clean, 1, 200))) END AS made_id, CASE WHEN clean <> '' THEN url END AS source_url, CASE WHEN clean <> '' THEN {text.sql_word_count('clean')}::VARCHAR END AS word_count,
+CASE WHEN clean <> '' THEN doc_id::VARCHAR END AS page, CASE WHEN clean <> '' AND doc_id % 4 <> 0 THEN (doc_id + 7)::VARCHAR END AS revision, CASE WHEN clean <> '' THEN array_to_string(list_sort([source, lang]), ',') END AS categories,
+CASE WHEN clean <> '' THEN source END AS seed, CASE WHEN clean <> '' THEN 'ar-MSA/tier_2/w/encyclopedia/ar.wikipedia.org' END AS fixed, CASE WHEN clean = '' THEN concat('doc ', doc_id, ': empty_after_cleaning') END AS rejected FROM c"""
+)
+def page_documents(spark, sf_dir):
+    """Pages made of all documents, as documents or rejections; every tenth is empty but for markup, some have no URL or no numeric revision."""
+    n = F.col("doc_id")
+    pages = table(spark, sf_dir, "documents").select(
+        n.alias("ingest_seq"), F.col("source").alias("seed"), F.concat(F.lit("doc "), n.cast("string")).alias("title"), F.expr(_PAGE_TEXT).alias("text"), n.cast("string").alias("pageid"),
+        F.when(n % 4 != 0, (n + 7).cast("string")).otherwise("r1").alias("revid"), F.when(n % 2 == 1, F.concat(F.lit("https://"), "source", F.lit(".example.org/"), n.cast("string"))).otherwise("").alias("fullurl"),
+        F.array(F.concat(F.lit(fields.CATEGORY_PREFIXES["ar"]), "source"), F.concat(F.lit("Category:"), "lang"), F.lit("تصنيف:بذرة")).alias("categories"),
+    )
+    docs, rejected = ingest.pages_to_documents(pages, {"languages": [{"code": "ar", "source_id": "w", "credibility_tier": "tier_2"}]})
+    fixed = F.concat_ws("/", "language", "credibility", "source_id", "source_type", "source_domain")
+    made = docs.select("ingest_seq", F.col("doc_id").alias("made_id"), "source_url", F.col("word_count").cast("string"), F.col("wikipedia_page_id").cast("string").alias("page"), F.col("wikipedia_revid").cast("string").alias("revision"), F.array_join("wikipedia_categories", ",").alias("categories"), F.col("seed_category").alias("seed"), fixed.alias("fixed"))
+    return made.unionByName(rejected.select("ingest_seq", F.concat_ws(": ", "key", "reason").alias("rejected")), allowMissingColumns=True)
+
+
 # --- scans and sinks: written, read back, compared with what the table holds ---
 
 
@@ -629,6 +654,24 @@ def walk_pages(spark, sf_dir):
     return graph.walk_pages(pages, members, seeds, depth=1, per_category=5, max_docs=60)
 
 
+@query(
+    f"""WITH {_HELD},
+given AS (SELECT r_regionkey, n_nationkey, c_name, c_custkey, row_number() OVER (PARTITION BY n_nationkey ORDER BY c_custkey) AS k FROM customer JOIN held ON c_nationkey = n_nationkey WHERE c_custkey % 7 <> 3 AND NOT {_UPKEEP}),
+turns AS (SELECT *, row_number() OVER (PARTITION BY r_regionkey ORDER BY n_nationkey, c_custkey) AS turn FROM given WHERE k <= 5),
+walk AS (SELECT row_number() OVER (ORDER BY turn, r_regionkey) - 1 AS ingest_seq, r_name AS seed, c_name AS title, c_custkey % 3 <> 1 AS good FROM turns JOIN region USING (r_regionkey)),
+told AS (SELECT *, count_if(good) OVER (ORDER BY ingest_seq) AS n FROM walk)
+SELECT ingest_seq, title, CASE WHEN good THEN seed ELSE 'empty_after_cleaning' END AS told FROM told WHERE n < 40 OR (n = 40 AND good)"""
+)
+def wiki_source(spark, sf_dir):
+    """Forty documents of five regions by turns, and the pages met before the last that are empty after cleaning, a third of all."""
+    pages, members = atlas(spark, sf_dir)
+    seeds = [r.r_name for r in spark.read.parquet(f"{sf_dir}/region.parquet").orderBy("r_regionkey").collect()]
+    pages = pages.withColumn("text", F.when(F.try_to_number(F.substring_index("title", "#", -1), F.lit("999999999")) % 3 == 1, "<br>").otherwise(F.col("title")))
+    config = {"category_depth": 1, "max_articles_per_category": 5, "seed_categories": {"ar": seeds}}
+    docs, rejected = WikiSource(pages, members, config, max_docs=40).walked()
+    return docs.select("ingest_seq", "title", F.col("seed_category").alias("told")).union(rejected.select("ingest_seq", "key", "reason"))
+
+
 @query(
     f"""WITH {_HELD},
 roots AS (SELECT concat('{_AR}', r_name) AS title, 0 AS depth, NULL::VARCHAR AS parent, r_regionkey AS a, -1 AS b FROM region WHERE r_regionkey < 4),
@@ -740,6 +783,33 @@ def entity_counts(spark, sf_dir):
     return found.select("doc_id", "n_entities", F.coalesce(F.get("first_entities", F.lit(0))["label"], F.lit("")).alias("label"))
 
 
+@query(f"WITH dict AS {values(list(entities.DICTIONARY.items()), 'f', 'label')}, n AS (SELECT doc_id, {_FORM} AS form FROM {_SPOKEN}) SELECT doc_id, (CASE WHEN doc_id < 100 THEN count(label) ELSE 0 END)::BIGINT AS n_entities FROM n LEFT JOIN dict ON f = form GROUP BY doc_id")
+def entity_corpus(spark, sf_dir):
+    """A Parquet corpus tagged by the whole run, which writes all documents and gives entities to the first hundred: its limit is what is looked at."""
+    path = _folder(spark, "corpus")
+    said = F.concat(F.lit("كان هناك "), F.element_at(F.array(*map(F.lit, WORDS)), (F.col("doc_id") % len(WORDS) + 1).cast("int")), F.lit(" هنا"))
+    table(spark, sf_dir, "documents").withColumn("text", said).write.parquet(f"{path}/in")
+    return run.tag(spark, f"{path}/in", f"{path}/out", limit=100, order="doc_id").select("doc_id", "n_entities")
+
+
+def capitals(sentences: list[list[str]]) -> list[list[str]]:
+    """A tagger: tokens that begin with A-Z begin an entity, digits go on with it."""
+    return [["B-UP" if "A" <= w[0] <= "Z" else "I-UP" if w.isascii() and w.isdigit() else "O" for w in words] for words in sentences]
+
+
+@query(
+    f"""WITH s AS (SELECT doc_id, generate_subscripts(ss, 1) AS k, unnest(ss) AS s FROM (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(replace(text, chr(10), '. '), '{entities.SENTENCE_ENDS}'), lambda s: {_TRIM}), lambda s: len(regexp_extract_all(s, '{text.NOT_WS}+')) >= 3) AS ss FROM documents)),
+t AS (SELECT doc_id, k, generate_subscripts(ts, 1) AS p, unnest(ts) AS w FROM (SELECT doc_id, k, regexp_extract_all(s, '{entities.TOKEN}') AS ts FROM s)),
+g AS (SELECT *, count_if(NOT regexp_full_match(w, '[0-9]+')) OVER (PARTITION BY doc_id, k ORDER BY p) AS run FROM t),
+e AS (SELECT doc_id, k, min(p) AS p, string_agg(w, ' ' ORDER BY p) AS entity FROM g GROUP BY doc_id, k, run HAVING regexp_matches(first(w ORDER BY p), '^[A-Z]'))
+SELECT d.doc_id, count(entity) AS n_entities, md5(coalesce(string_agg(entity, '|' ORDER BY k, p), '')) AS digest FROM documents d LEFT JOIN e ON d.doc_id = e.doc_id GROUP BY d.doc_id"""
+)
+def tagged_entities(spark, sf_dir):
+    """All documents through a tagger that is plugged in."""
+    docs = entities.with_entities(table(spark, sf_dir, "documents"), capitals)
+    return docs.select("doc_id", F.size("entities").cast("bigint").alias("n_entities"), F.md5(F.array_join(F.col("entities")["text"], "|").cast("binary")).alias("digest"))
+
+
 TAGGED = [
     (1, ["محمد", "علي", "والخليل", "كوفية"], ["B-PERS", "I-PERS", "B-LOC", "O"]), (2, ["محمد", "علي", "والخليل", "اليوم", "كوفية"], ["B-PERS", "I-PERS", "B-LOC", "O", "O"]),
     (3, ["وسعيد", "في"], ["B-PERS", "I-LOC"]), (4, [], []), (5, ["من"], ["I-PERS"]),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.credibility import CREDIBILITY_MAP
+from ..operators.dedup import shared
 from ..operators.graph import walk_pages
 from ..plans.ingest import pages_to_documents
 
@@ -31,16 +32,36 @@ class WikiSource:
         most = self.config.get("max_articles_per_language")
         return self.max_docs if not most else int(most) if self.max_docs is None else min(self.max_docs, int(most))
 
-    def candidates(self) -> DataFrame:
+    def candidates(self, most: int | None) -> DataFrame:
+        """The first `most` pages of the walk."""
         seeds = list((self.config.get("seed_categories") or {}).get(self.language) or [])
-        return walk_pages(self.pages, self.members, seeds, int(self.config.get("category_depth", 1)), int(self.config.get("max_articles_per_category", 100)), self.cap(), self.language)
+        return walk_pages(self.pages, self.members, seeds, int(self.config.get("category_depth", 1)), int(self.config.get("max_articles_per_category", 100)), most, self.language)
 
     def collect(self) -> tuple[DataFrame, DataFrame]:
-        """(documents, rejections)."""
-        found = self.pages.join(F.broadcast(self.candidates()), "title")
-        docs, rejected = pages_to_documents(found, self.config, self.language, self.entries)
-        cap = self.cap()
-        return (docs if cap is None else docs.orderBy("ingest_seq").limit(cap)), rejected
+        """(documents, rejections (key, reason))."""
+        docs, rejected = self.walked()
+        return docs, rejected.drop("ingest_seq")
+
+    def walked(self) -> tuple[DataFrame, DataFrame]:
+        """(documents, rejections (ingest_seq, key, reason)), whose ingest_seq is the place in the walk.
+
+        Pages that are empty after cleaning do not count towards the cap: while too few documents come out and the walk
+        has more pages, it is taken twice as far. Rejections after the last document are not reached and not reported.
+        """
+        cap = most = self.cap()
+        while True:
+            walk = self.candidates(most)
+            found = self.pages.join(walk if cap is None else F.broadcast(walk), "title")  # at most `most` titles
+            docs, rejected = pages_to_documents(found, self.config, self.language, self.entries)
+            if cap is None:
+                return docs, rejected
+            docs = shared(docs, "collected")
+            if docs.count() >= cap or walk.count() < most:
+                break
+            most *= 2
+        docs = docs.orderBy("ingest_seq").limit(cap)
+        reached = docs.agg(F.count("*").alias("n"), F.max("ingest_seq").alias("last")).first()
+        return docs, rejected if reached.n < cap else rejected.where(F.col("ingest_seq") < F.lit(reached.last))
 
     def read(self, spark: SparkSession) -> DataFrame:
         return self.collect()[0]

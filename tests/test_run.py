@@ -5,6 +5,7 @@ import pytest
 
 from corpusmill.plans import run
 from corpusmill.queries import PAGE_ROWS, wiki
+from corpusmill.sources.wiki import WikiSource
 
 
 def tables(spark):
@@ -33,6 +34,22 @@ def test_ingest(spark, tmp_path):
         run.ingest(spark, pages, members, {"wikipedia": {"enabled": False}}, out=str(tmp_path))
 
 
+def test_cap_counts_documents(spark):
+    """Against the walk taken page by page: empty pages take no place, those after the last document are not met."""
+    rng = random.Random(3)
+    names = [f"p{k:02d}" for k in range(40)]
+    texts = {n: "<br>" if rng.random() < 0.6 else f"text of {n}" for n in names}
+    pages = spark.createDataFrame([("تصنيف:x", 14, True, None), *((n, 0, True, texts[n]) for n in names)], "title string, ns int, exists boolean, text string")
+    members = spark.createDataFrame([("تصنيف:x", n, k) for k, n in enumerate(names)], "parent string, member string, pos long")
+    good = [n for n in names if texts[n] != "<br>"]
+    for cap in (0, 5, len(good) + 1, None):
+        docs, rejected = WikiSource(pages, members, {"seed_categories": {"ar": ["x"]}, "max_articles_per_category": 100}, max_docs=cap).walked()
+        wanted = good[:cap] if cap is not None else good
+        met = names[: names.index(wanted[-1])] if cap is not None and cap <= len(good) and wanted else names if cap != 0 else []
+        assert [r.title for r in docs.orderBy("ingest_seq").collect()] == wanted
+        assert [r.key for r in rejected.orderBy("ingest_seq").collect()] == [n for n in met if texts[n] == "<br>"]
+
+
 def test_audit_and_entities(spark, tmp_path):
     pages, members = tables(spark)
     seeds = spark.createDataFrame([(0, "فلسطين"), (1, "لا شيء")], "pos int, seed string")
