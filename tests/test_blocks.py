@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 
 from corpusmill.operators import blocks, dedup
+from corpusmill.queries import QUERIES
 
 
 def texts(seed, many):
@@ -83,3 +84,9 @@ def test_bands_without_pairs(spark, monkeypatch):
             kept.append((f"{(k * 37) % 101:03d}-{k}", values))
     df = spark.createDataFrame([(k, f"{(k * 37) % 101:03d}-{k}", t) for k, t in enumerate(docs)], "seq long, doc_id string, text string")
     assert dict(map(tuple, dedup.banded_duplicates(df, 3, 2).collect())) == wanted
+
+
+@pytest.mark.parametrize("name", ["index_stats", "pipeline_routes", "route_distributions", "run_stats"])
+def test_queries_without_candidates(spark, monkeypatch, name):
+    monkeypatch.setattr(dedup, "candidates", None)
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
