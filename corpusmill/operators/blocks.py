@@ -2,8 +2,9 @@
 
 No pair is written before it is confirmed, so disk grows with the sets and the results alone, whatever the number of
 candidates. A set has a sketch of BITS bits: each member flips one, and of two sketches as many bits differ as an odd
-number of members flipped that only one set has; never more than there are such members. All pairs within the sizes that the
-threshold allows are compared by the first words of it, those that may still reach it by more, those left by their sets.
+number of members flipped that only one set has; never more than there are such members. A sketch folded onto itself is the
+shorter sketch of the same set. All pairs within the sizes that the threshold allows are compared by folded sketches, long
+enough for the sizes, those that may still reach it by whole ones, those left by their sets.
 """
 
 from __future__ import annotations
@@ -15,11 +16,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bits of a sketch, its words, and how many of them have been compared after each step.
+#: Bits of a sketch, its words, words of the sketches that are compared first, and how many bits these have at
+#: least for each member that a pair at the threshold has in one set only.
 BITS = 4096
-WORDS, STEPS = BITS // 64, (8, 24, 64)
-#: Standard deviations, and bits more, by which two sketches may differ beyond what a pair at the threshold is expected to:
-#: less than one pair in a million is missed at the threshold itself.
+WORDS, FOLDS, ROOM = BITS // 64, (8, 16, 32, 64), 3
+#: Standard deviations, and bits more, by which two whole sketches may differ beyond what a pair at the threshold is expected
+#: to, where this is less than its members apart (sets of some thousands): less than one pair in a million is missed at the
+#: threshold itself. Folded sketches, and whole ones of smaller sets, miss none.
 DEVIATIONS, MORE = 5.0, 5.0
 #: Sets and members that a block has at most (one set may be larger), and the sets of the first block; each has twice those of the one before.
 BLOCK_SETS, BLOCK_MEMBERS, FIRST_SETS = 16384, 16_000_000, 1024
@@ -41,6 +44,11 @@ def sketch(codes: np.ndarray) -> bytes:
     return np.packbits((np.bincount(h.astype(np.int64), minlength=BITS) & 1).astype(np.uint8)).tobytes()
 
 
+def folded(words: np.ndarray, many: int) -> np.ndarray:
+    """Sketches, words first, folded to many words."""
+    return words if many == WORDS else np.bitwise_xor.reduce(words.reshape(WORDS // many, many, *words.shape[1:]))
+
+
 class Block:
     """Sets, by size: seq, their sizes, sketches and packed members; what is derived from these is made where it is used."""
 
@@ -64,6 +72,10 @@ class Block:
     def rows(self) -> np.ndarray:
         return np.ascontiguousarray(self.words.T)
 
+    @cached_property
+    def folds(self) -> dict[int, np.ndarray]:
+        return {many: folded(self.words, many) for many in FOLDS}
+
     @cached_property
     def ends(self) -> np.ndarray:
         return np.concatenate([[0], np.cumsum(self.n, dtype=np.int64)])
@@ -81,14 +93,15 @@ class Block:
 
 
 class Limits:
-    """Bits in which the sketches of a pair may differ, by the members that only one of its sets has at the threshold."""
+    """Bits in which the sketches of a pair may differ, by the members of both sets, for the members that only one has at the threshold."""
 
     def __init__(self, threshold: float, largest: int):
         """largest: the sum of the sizes of any pair."""
         apart = np.floor(np.arange(largest + 1) * ((1 - threshold) / (1 + threshold)) + 1e-6)
         p = (1 - np.exp(-2 * apart / BITS)) / 2
-        likely = lambda bits: bits * p + DEVIATIONS * np.sqrt(bits * p * (1 - p)) + MORE
-        self.after = {words: np.minimum(apart, likely(words * 64)).astype(np.uint16) for words in STEPS}
+        likely = BITS * p + DEVIATIONS * np.sqrt(BITS * p * (1 - p)) + MORE
+        self.folded, self.whole = (np.minimum(x, BITS).astype(np.uint16) for x in (apart, np.minimum(apart, likely)))
+        self.many = np.array(FOLDS)[np.minimum(np.searchsorted(np.array(FOLDS) * 64 // ROOM, apart[::2]), len(FOLDS) - 1)]
 
 
 class Comparison:
@@ -98,27 +111,32 @@ class Comparison:
         self.block, self.threshold = block, threshold
         self.limits = Limits(threshold, int((1 + 1 / threshold) * block.n[-1]) + 2 if len(block.n) else 0)
         self.flags = np.zeros(len(block.members[1]), np.uint8)
+        self.room = np.empty(len(block.n), np.uint64), np.empty(len(block.n), np.uint8), np.empty(len(block.n), np.uint8)
 
     def near(self, n: int, words: np.ndarray, seq: int, allowed: np.ndarray | None = None) -> np.ndarray:
         """Places of the sets before seq, of those allowed, that sizes and sketches do not rule out."""
-        block, limits = self.block, self.limits.after
+        block, limits = self.block, self.limits
         lo = block.n.searchsorted(np.int32(np.ceil(n * self.threshold - 1e-6)))
         hi = block.n.searchsorted(np.int32(np.floor(n / self.threshold + 1e-6)), "right")
         if lo >= hi:
             return np.empty(0, np.int64)
-        done = STEPS[0]
-        apart = np.bitwise_count(block.words[0, lo:hi] ^ words[0])
-        for k in range(1, done):  # beyond 255 it starts from 0 again, and the pair is compared further
-            apart += np.bitwise_count(block.words[k, lo:hi] ^ words[k])
-        at = np.flatnonzero(apart <= limits[done][n + block.n[hi - 1]])
-        at = at[(apart[at] <= limits[done][n + block.n[lo + at]]) & (block.seq[lo + at] < seq)] + lo
+        many = int(limits.many[min(n, len(limits.many) - 1)])
+        theirs, own = block.folds[many], folded(words, many)
+        other, bits, some = (x[: hi - lo] for x in self.room)
+        apart = np.zeros(hi - lo, np.uint16)
+        for k in range(many):
+            np.bitwise_xor(theirs[k, lo:hi], own[k], out=other)
+            if k % 3 == 0:  # three words differ in 192 bits at most
+                np.bitwise_count(other, out=some)
+            else:
+                some += np.bitwise_count(other, out=bits)
+            if k % 3 == 2 or k == many - 1:
+                apart += some
+        at = np.flatnonzero(apart <= limits.folded[n + block.n[hi - 1]])
+        at = at[(apart[at] <= limits.folded[n + block.n[lo + at]]) & (block.seq[lo + at] < seq)] + lo
         at = at if allowed is None else at[allowed[at]]
-        apart = apart[at - lo].astype(np.uint16)
-        for more in STEPS[1:]:
-            apart += np.bitwise_count(block.rows[at, done:more] ^ words[done:more]).sum(1, dtype=np.uint16)
-            left = apart <= limits[more][n + block.n[at]]
-            at, apart, done = at[left], apart[left], more
-        return at
+        apart = np.bitwise_count(block.rows[at] ^ words).sum(1, dtype=np.uint16)
+        return at[apart <= limits.whole[n + block.n[at]]]
 
     def similarity(self, places: np.ndarray, n: int, at: np.ndarray) -> np.ndarray:
         """Of the set whose members are at places of the block's (those that the block has) and that has n, to the sets at."""

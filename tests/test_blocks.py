@@ -90,3 +90,52 @@ def test_bands_without_pairs(spark, monkeypatch):
 def test_queries_without_candidates(spark, monkeypatch, name):
     monkeypatch.setattr(dedup, "candidates", None)
     assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+
+
+def scratch_tables(spark):
+    """Names and bytes of the tables that are in the scratch folder."""
+    fs = spark._jvm.org.apache.hadoop.fs.Path(dedup.scratch(spark))
+    system = fs.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {x.getPath().getName(): system.getContentSummary(x.getPath()).getLength() for x in system.listStatus(fs)} if system.exists(fs) else {}
+
+
+def test_duplicates_leave_only_their_result(spark):
+    """Sets, sketches and what rounds write are deleted when index_stats has its duplicates; texts are not shuffled for copies."""
+    docs = texts(6, 200)
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(docs + docs[:20])], "seq long, text string")
+    before = scratch_tables(spark)
+    row = dedup.index_stats(df, dedup.duplicates(df)).first()
+    left = {k: v for k, v in scratch_tables(spark).items() if k not in before}
+    assert row.checked == len(docs) + 20 and row.duplicates >= 20
+    assert [k.split("-")[0] for k in left] == ["duplicates"]
+
+
+@pytest.mark.parametrize("copied", [5, 60])
+def test_copies_are_no_sets_of_blocks(spark, monkeypatch, copied):
+    """A text and its copies are one set of the blocks, few copies or more than others; canonical ones are those of a search in order."""
+    docs = texts(7, 40)
+    docs += docs[:20] * (copied // 5)
+    monkeypatch.setattr(blocks, "FIRST_SETS", 16)
+    sizes, come = [], blocks.first_come
+    monkeypatch.setattr(blocks, "first_come", lambda block, threshold: sizes.append(len(block.seq)) or come(block, threshold))
+    kept, wanted, sets = [], {}, [set(dedup.shingle_codes(t).tolist()) for t in docs]
+    for k, own in enumerate(sets):
+        first = next((a for a in kept if len(own & sets[a]) / len(own | sets[a]) >= 0.8), None)
+        if first is None:
+            kept.append(k)
+        else:
+            wanted[k] = first
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(docs)], "seq long, text string")
+    assert dict(map(tuple, dedup.duplicates(df).collect())) == wanted
+    assert sum(sizes) <= len(set(docs))
+
+
+@pytest.mark.parametrize("many", [8, 16, 32, 64])
+def test_folded_sketches_never_rule_out(many):
+    """A folded sketch is the sketch of as many bits: it differs in no more bits than there are members apart, and in as odd a number."""
+    rng = np.random.default_rng(many)
+    for n, apart in ((50, 9), (700, 150), (3000, 640)):
+        codes = np.unique(rng.integers(0, 2**62, n + apart, dtype=np.uint64))
+        a, b = (blocks.folded(np.frombuffer(blocks.sketch(np.sort(x)), np.uint64), many) for x in (codes[apart // 2 :], codes[: len(codes) - (apart - apart // 2)]))
+        differ = int(np.bitwise_count(a ^ b).sum())
+        assert differ <= apart and differ % 2 == apart % 2 and differ > 0
