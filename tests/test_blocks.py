@@ -139,3 +139,11 @@ def test_folded_sketches_never_rule_out(many):
         a, b = (blocks.folded(np.frombuffer(blocks.sketch(np.sort(x)), np.uint64), many) for x in (codes[apart // 2 :], codes[: len(codes) - (apart - apart // 2)]))
         differ = int(np.bitwise_count(a ^ b).sum())
         assert differ <= apart and differ % 2 == apart % 2 and differ > 0
+
+
+@pytest.mark.parametrize(("name", "tables"), [("pipeline_routes", ["checked", "duplicates"])])
+def test_routes_leave_no_sets(spark, name, tables):
+    """Of the tables that routes are made through, those that the result reads stay."""
+    before = scratch_tables(spark)
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+    assert sorted(k.split("-")[0] for k in scratch_tables(spark) if k not in before) == tables
