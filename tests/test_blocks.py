@@ -141,7 +141,7 @@ def test_folded_sketches_never_rule_out(many):
         assert differ <= apart and differ % 2 == apart % 2 and differ > 0
 
 
-@pytest.mark.parametrize(("name", "tables"), [("pipeline_routes", ["checked", "duplicates"]), ("route_distributions", ["checked", "duplicates", "routed"])])
+@pytest.mark.parametrize(("name", "tables"), [("pipeline_routes", ["checked", "duplicates"]), ("run_stats", ["checked", "duplicates"]), ("route_distributions", ["checked", "duplicates", "routed"])])
 def test_routes_leave_no_sets(spark, name, tables):
     """Of the tables that routes are made through, those that the result reads stay."""
     before = scratch_tables(spark)
