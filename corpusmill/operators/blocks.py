@@ -28,14 +28,22 @@ DEVIATIONS, MORE = 5.0, 5.0
 BLOCK_SETS, BLOCK_MEMBERS, FIRST_SETS = 16384, 16_000_000, 1024
 #: Members and candidates that are held at once.
 SLICE = 1_000_000
+#: Bits of a packed number's fields, and the lowest one's.
+FIELD, LOW = 21, np.uint64((1 << 21) - 1)
 
 
 def pack(codes: np.ndarray) -> bytes:
-    return zlib.compress(np.diff(codes, prepend=np.uint64(0)).tobytes(), 1)
+    """Sorted numbers as three fields of 21 bits (a shingle's characters), the first one's differences; like bytes lie together."""
+    fields = np.empty((3, len(codes)), np.uint32)
+    fields[0] = np.diff(codes >> np.uint64(2 * FIELD), prepend=np.uint64(0))
+    fields[1:] = codes >> np.uint64(FIELD) & LOW, codes & LOW
+    return zlib.compress(fields.view(np.uint8).reshape(-1, 4).T[:3].tobytes(), 1)
 
 
 def unpack(packed) -> np.ndarray:
-    return np.cumsum(np.frombuffer(zlib.decompress(packed), np.uint64))
+    low, middle, high = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(3, 3, -1).astype(np.uint64)
+    fields = low | middle << np.uint64(8) | high << np.uint64(16)
+    return np.cumsum(fields[0]) << np.uint64(2 * FIELD) | fields[1] << np.uint64(FIELD) | fields[2]
 
 
 def sketch(codes: np.ndarray) -> bytes:

@@ -337,9 +337,9 @@ def minhash_signatures(spark, sf_dir):
 # --- the pipeline ---
 
 
-def routes(spark, sf_dir) -> DataFrame:
+def routes(spark, sf_dir, *columns: str) -> DataFrame:
     docs = model(spark, sf_dir).withColumns({"wikipedia_categories": F.array("source_id", "language"), "seed_category": F.when(F.col("source_id") != "src0", F.col("source_id"))})
-    return ingest.routed(docs)
+    return ingest.routed(docs, columns=columns or None)
 
 
 _ROUTED = f"""{_CHECKED.replace("WITH c", "WITH RECURSIVE c", 1).rstrip()},
@@ -353,7 +353,7 @@ routed AS (SELECT q.doc_id AS seq, q.doc_id::VARCHAR AS doc_id, source, CASE WHE
 
 @query(f"{_ROUTED} SELECT doc_id, quality_decision, has_duplicate, is_duplicate_of, rejection_reason, route FROM routed")
 def pipeline_routes(spark, sf_dir):
-    return routes(spark, sf_dir).select("doc_id", "quality_decision", "has_duplicate", "is_duplicate_of", "rejection_reason", "route")
+    return routes(spark, sf_dir, "doc_id", "quality_decision", "has_duplicate", "is_duplicate_of", "rejection_reason", "route")
 
 
 @query(

@@ -1,10 +1,12 @@
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from corpusmill.operators import blocks, dedup
+from corpusmill.plans import ingest
 from corpusmill.queries import QUERIES
 
 
@@ -147,3 +149,37 @@ def test_routes_leave_no_sets(spark, name, tables):
     before = scratch_tables(spark)
     assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
     assert sorted(k.split("-")[0] for k in scratch_tables(spark) if k not in before) == tables
+
+
+@pytest.mark.parametrize("name", ["pipeline_routes"])
+def test_routes_write_no_texts(spark, monkeypatch, name):
+    """Of the documents that routes are made of only their sets are written, and the columns that the result reads."""
+    written, write = [], dedup.shared
+    monkeypatch.setattr(dedup, "shared", lambda df, tag: written.append(df.columns) or write(df, tag))
+    monkeypatch.setattr(ingest, "shared", dedup.shared)
+    before = scratch_tables(spark)
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+    left = [spark.read.parquet(f"{dedup.scratch(spark)}/{k}").columns for k in scratch_tables(spark) if k not in before]
+    assert written and not {"text", "text_raw"} & {c for columns in written + left for c in columns}
+    assert max(map(len, left)) <= 7
+
+
+def test_routes_of_some_columns(spark):
+    """Columns that are asked for are those of the whole result; rejected documents have theirs, and are not compared."""
+    docs = [(k, f"d{k}", t * 6) for k, t in enumerate(texts(8, 60))]
+    df = spark.createDataFrame(docs + [(100, "d100", docs[3][2]), (101, "d101", "short"), (102, "d102", "short"), (103, "d103", None)], "ingest_seq long, doc_id string, text string")
+    df = df.selectExpr("*", "size(split(text, ' ')) AS word_count", "length(text) AS char_count", "'en' AS language", "'tier_1' AS credibility", "'t' AS title", "'u' AS source_url", "'n' AS source_name", "'i' AS source_id", "'other' AS source_type", "ingest_seq % 3 AS seq", "'2026' AS date_collected")
+    for columns in (["route", "is_duplicate_of", "doc_id", "errors", "seq"], ["has_duplicate", "ingest_seq"], ["doc_id", "text", "route"]):
+        found, wanted = ingest.routed(df, columns=columns), ingest.routed(df).select(columns)
+        assert found.columns == columns and found.dtypes == wanted.dtypes
+        assert sorted(map(repr, found.collect())) == sorted(map(repr, wanted.collect()))
+    assert {r.route for r in found.collect()} == {"accepted", "rejected"} and wanted.count() == len(docs) + 4
+
+
+def test_packed_sets():
+    """Packed sets are small: two thirds of packed differences at most, as texts' sets are what the disk holds; any sorted numbers come back."""
+    codes = [dedup.shingle_codes(t) for t in ["", "ab", "تراث فلسطين 😀" * 3, *texts(9, 40)]]
+    codes += [np.array([0, 5, 2**63, 2**64 - 1], np.uint64), np.unique(np.random.default_rng(1).integers(0, 2**64, 500, dtype=np.uint64))]
+    assert all((blocks.unpack(blocks.pack(c)) == c).all() for c in codes)
+    texts_only = codes[3:-2]
+    assert sum(len(blocks.pack(c)) for c in texts_only) < 2 / 3 * sum(len(zlib.compress(np.diff(c, prepend=np.uint64(0)).tobytes(), 1)) for c in texts_only)
