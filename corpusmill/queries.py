@@ -374,7 +374,7 @@ SELECT kind, value, n FROM counted QUALIFY row_number() OVER (PARTITION BY kind
 )
 def route_distributions(spark, sf_dir):
     """Categories, seeds and reasons of routed documents, with counts."""
-    found = dedup.shared(routes(spark, sf_dir), "routed")
+    found = dedup.shared(routes(spark, sf_dir, "ingest_seq", "wikipedia_categories", "seed_category", "rejection_reason", "route"), "routed")
     parts = (("category", stats.category_distribution(found)), ("seed_category", stats.seed_distribution(found)), ("rejection_reason", stats.rejection_distribution(found)))
     out = None
     for name, df in parts:
