@@ -361,7 +361,7 @@ def pipeline_routes(spark, sf_dir):
 coalesce(sum(words) FILTER (route = 'accepted'), 0)::BIGINT AS total_words, CASE WHEN count_if(route = 'accepted') > 0 THEN round(sum(words) FILTER (route = 'accepted') / count_if(route = 'accepted')::DOUBLE, 2) ELSE 0 END AS average_document_length FROM routed"""
 )
 def run_stats(spark, sf_dir):
-    return stats.run_stats(routes(spark, sf_dir))
+    return stats.run_stats(routes(spark, sf_dir, "word_count", "has_duplicate", "route"))
 
 
 @query(

@@ -151,7 +151,7 @@ def test_routes_leave_no_sets(spark, name, tables):
     assert sorted(k.split("-")[0] for k in scratch_tables(spark) if k not in before) == tables
 
 
-@pytest.mark.parametrize("name", ["pipeline_routes", "route_distributions"])
+@pytest.mark.parametrize("name", ["pipeline_routes", "route_distributions", "run_stats"])
 def test_routes_write_no_texts(spark, monkeypatch, name):
     """Of the documents that routes are made of only their sets are written, and the columns that the result reads."""
     written, write = [], dedup.shared
